@@ -13,8 +13,25 @@ from parcelflow.model import FINANCIAL, SHIPMENT, TRACKING
 from parcelflow.sources.dimensions import flat_facilities
 
 
+# Known schemas save a footer scan per table.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 CREATED_SQL = {
@@ -139,7 +156,13 @@ SCAN_SQL = {
 
 
 def _mapped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])
+    times = {"event_time", "processing_time"}
+    return df.selectExpr(
+        *[
+            f"CAST({sql} AS timestamp) AS {name}" if name in times else f"{sql} AS {name}"
+            for name, sql in columns.items()
+        ]
+    )
 
 
 def created_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,12 +185,11 @@ def scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(table(spark, sf_dir, "events"), SCAN_SQL)
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        SHIPMENT: created_feed(spark, sf_dir),
-        TRACKING: tracking_feed(spark, sf_dir),
-        FINANCIAL: financial_feed(spark, sf_dir),
-    }
+TOPIC_FEEDS = {SHIPMENT: created_feed, TRACKING: tracking_feed, FINANCIAL: financial_feed}
+
+
+def topic_feed(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    return TOPIC_FEEDS[topic](spark, sf_dir)
 
 
 SERVICES_SQL = """SELECT * FROM VALUES
@@ -180,48 +202,85 @@ SERVICES_SQL = """SELECT * FROM VALUES
        sla_inter_province_days, sla_remote_days)"""
 
 
-def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Dimension tables over supplier, nation, region and customer."""
-    supplier = table(spark, sf_dir, "supplier")
-    nation = table(spark, sf_dir, "nation")
-    return {
-        "dim_region": table(spark, sf_dir, "region").selectExpr(
-            "concat('R', r_regionkey) AS region_id", "r_name AS region_name"
-        ),
-        "dim_branch": nation.selectExpr(
+DIMENSION_SQL = {
+    "dim_region": ("region", ["concat('R', r_regionkey) AS region_id", "r_name AS region_name"]),
+    "dim_branch": (
+        "nation",
+        [
             "concat('B', n_nationkey) AS branch_id",
             "n_name AS branch_name",
             "concat('R', n_regionkey) AS region_id",
-        ),
-        "dim_province": nation.selectExpr(
+        ],
+    ),
+    "dim_province": (
+        "nation",
+        [
             "concat('P', n_nationkey) AS province_id",
             "concat('R', n_regionkey) AS region_id",
             "CASE WHEN n_nationkey % 10 <> 9 THEN n_nationkey % 5 = 4 END AS is_remote",
-        ),
-        "dim_facility": supplier.selectExpr(
+        ],
+    ),
+    "dim_facility": (
+        "supplier",
+        [
             "concat('F', s_suppkey) AS facility_id",
             "s_name AS facility_name",
             "CASE WHEN s_suppkey % 3 = 0 THEN 'HUB' ELSE 'POST_OFFICE' END AS facility_type",
             "concat('B', s_nationkey) AS branch_id",
             "concat('P', s_nationkey) AS province_id",
             "cast(7 + s_suppkey % 4 AS int) AS capacity_per_day",
-        ),
-        "dim_route": supplier.selectExpr(
+        ],
+    ),
+    "dim_route": (
+        "supplier",
+        [
             "concat('RT', s_suppkey) AS route_id",
             "concat('F', s_suppkey) AS origin_hub_id",
             "concat('F', s_suppkey + s_suppkey % 3) AS destination_hub_id",
             "cast(1 + s_suppkey % 48 AS decimal(5,2)) AS estimated_duration_hours",
-        ),
-        "dim_partner": table(spark, sf_dir, "customer").selectExpr(
+        ],
+    ),
+    "dim_partner": (
+        "customer",
+        [
             "concat('C', c_custkey) AS partner_id",
             "c_name AS partner_name",
             "c_mktsegment AS partner_type",
-        ),
-        "dim_service_type": spark.sql(SERVICES_SQL),
-    }
+        ],
+    ),
+}
+
+
+class Dimensions(dict):
+    """Dimension frames by name, made when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, flat: bool = False):
+        super().__init__()
+        self.spark, self.sf_dir, self.flat = spark, sf_dir, flat
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name == "dim_service_type":
+            frame = self.spark.sql(SERVICES_SQL)
+        elif name == "dim_facility" and self.flat:
+            frame = flat_facilities(Dimensions(self.spark, self.sf_dir))
+        else:
+            source, columns = DIMENSION_SQL[name]
+            frame = table(self.spark, self.sf_dir, source).selectExpr(*columns)
+        self[name] = frame
+        return frame
+
+    def __or__(self, other):
+        out = Dimensions(self.spark, self.sf_dir, self.flat)
+        out.update(self)
+        out.update(other)
+        return out
+
+
+def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
+    """Dimension tables over supplier, nation, region and customer."""
+    return Dimensions(spark, sf_dir)
 
 
-def serving_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def serving_dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
     """The same with the facility dimension flattened up to the region."""
-    dims = dimensions(spark, sf_dir)
-    return dims | {"dim_facility": flat_facilities(dims)}
+    return Dimensions(spark, sf_dir, flat=True)

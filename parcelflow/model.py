@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 SHIPMENT = "logistics.shipment.events"
@@ -176,7 +178,8 @@ PROGRESS = (
 
 
 def columns_of(ddl: str) -> list[str]:
-    return T.StructType.fromDDL(ddl).fieldNames()
+    """Column names of a DDL text; works before a session exists."""
+    return re.findall(r"(\w+) [a-z]+", ddl)
 
 
 def topic_schema(topic: str) -> T.StructType:

@@ -7,6 +7,8 @@ of a shipment at once and the watermark then reaches ``as_of``.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -269,16 +271,36 @@ def anomalies(
     return out.select(*columns_of(ANOMALY))
 
 
+@dataclass(frozen=True)
+class Tracking:
+    """A complete event set with what journeys and alerts are made from."""
+
+    events: DataFrame
+    limits: StateThresholds
+    as_of: object = None
+    bucket: str = "day"
+
+    @cached_property
+    def dwells(self) -> DataFrame:
+        return hub_dwells(self.events, self.bucket)
+
+    @cached_property
+    def progress(self) -> DataFrame:
+        return shipment_progress(self.events, self.dwells)
+
+    def journeys(self) -> DataFrame:
+        return journeys(self.progress, self.limits, self.as_of)
+
+    def alerts(self) -> DataFrame:
+        return anomalies(self.events, self.dwells, self.progress, self.limits, self.as_of)
+
+
 def track(
     unified: DataFrame,
     dims: Mapping[str, DataFrame],
     limits: StateThresholds | None = None,
     as_of=None,
     bucket: str = "day",
-) -> tuple[DataFrame, DataFrame]:
-    """Journey rows and alert rows of a complete event set."""
-    limits = limits or StateThresholds()
-    events = with_state_lookups(unified, dims)
-    dwells = hub_dwells(events, bucket)
-    progress = shipment_progress(events, dwells)
-    return journeys(progress, limits, as_of), anomalies(events, dwells, progress, limits, as_of)
+) -> Tracking:
+    """Journeys and alerts of a complete event set."""
+    return Tracking(with_state_lookups(unified, dims), limits or StateThresholds(), as_of, bucket)

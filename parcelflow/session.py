@@ -15,6 +15,8 @@ COMMON_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites are not recorded for every column, which speeds up plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 BATCH_CONF = {
