@@ -1,0 +1,170 @@
+"""Streams over the benchmark tables, drained and read back."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from parcelflow.catalogue.feeds import SCAN_SQL, SCHEMAS, _mapped, dimensions, scan_feed
+from parcelflow.model import TRACKING
+from parcelflow.plans.enrich import deduplicated
+from parcelflow.plans.kpis import KPIS, merged_kpi
+from parcelflow.session import STREAM_CONF, new_scratch, session_conf
+from parcelflow.settings import StateThresholds, StreamSettings
+from parcelflow.streaming.app import (
+    start_final_kpi,
+    start_partial_kpis,
+    start_tracker,
+)
+from parcelflow.streaming.progress import recorded
+from parcelflow.streaming.sinks import folder_append
+
+DRAIN_S = 900
+
+
+def stream_conf(partitions: int = 8) -> dict[str, str]:
+    return STREAM_CONF | {"spark.sql.shuffle.partitions": str(partitions)}
+
+
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Wait until an available-now query has stopped by itself."""
+    if not query.awaitTermination(DRAIN_S):
+        query.stop()
+        raise TimeoutError(f"{query.name} did not drain in {DRAIN_S} s")
+    return query
+
+
+def settings(window: str, slide: str, watermark: str, limits: StateThresholds | None = None):
+    base = StreamSettings()
+    return replace(
+        base,
+        window=window,
+        slide=slide,
+        watermarks={topic: watermark for topic in base.watermarks},
+        union_watermark=watermark,
+        available_now=True,
+        thresholds=limits or base.thresholds,
+    )
+
+
+def scan_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream of scans; the whole file is one batch."""
+    rows = (
+        spark.readStream.schema(SCHEMAS["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
+    return _mapped(rows, SCAN_SQL)
+
+
+def replayed_scans(spark: SparkSession, sf_dir: str, files: int = 3) -> DataFrame:
+    """The scans written out in time order, then streamed one file per batch."""
+    path = new_scratch(spark, "replay")
+    scans = scan_feed(spark, sf_dir)
+    step = -(-31 // files)
+    for first in range(1, 32, step):
+        day = F.day("event_time")
+        part = scans.filter(day.between(first, first + step - 1))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return (
+        spark.readStream.schema(scans.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    )
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as tracking events, repeats of an id dropped under the watermark."""
+    from parcelflow.catalogue.feeds import TRACKING_SQL
+
+    path, checkpoint = new_scratch(spark, "dedup"), new_scratch(spark, "checkpoint")
+    rows = (
+        spark.readStream.schema(SCHEMAS["lineitem"])
+        .option("pathGlobFilter", "lineitem.parquet")
+        .parquet(sf_dir)
+    )
+    unique = deduplicated(_mapped(rows, TRACKING_SQL), "60 seconds").select("event_id")
+    with session_conf(spark, stream_conf()):
+        query = (
+            unique.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(path)
+        )
+        drain(query)
+    out = spark.read.schema("event_id string").parquet(path)
+    return out.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def final_flow(
+    spark: SparkSession, sf_dir: str, window: str, watermark: str, files: int = 3
+) -> DataFrame:
+    """Facility flow in final mode: each closed window once."""
+    path, checkpoint = new_scratch(spark, "final"), new_scratch(spark, "checkpoint")
+    kpi = KPIS["kpi_facility_flow"]
+    parsed = replayed_scans(spark, sf_dir, files)
+    with session_conf(spark, stream_conf()):
+        drain(
+            start_final_kpi(
+                kpi,
+                parsed,
+                dimensions(spark, sf_dir),
+                folder_append(path),
+                checkpoint,
+                settings(window, window, watermark),
+            )
+        )
+    return spark.read.parquet(f"{path}/{kpi.name}").drop("batch_id", "ingested_at")
+
+
+def partial_kpis(
+    spark: SparkSession, sf_dir: str, window: str, watermark: str, files: int = 3
+) -> tuple[StreamingQuery, str]:
+    """Run the tracking KPIs in partial mode; gives the query and the tables' folder."""
+    path, checkpoint = new_scratch(spark, "partials"), new_scratch(spark, "checkpoint")
+    parsed = replayed_scans(spark, sf_dir, files).withColumn(
+        "failure_reason_code", F.lit(None).cast("string")
+    )
+    with session_conf(spark, stream_conf()):
+        query = drain(
+            start_partial_kpis(
+                parsed,
+                TRACKING,
+                dimensions(spark, sf_dir),
+                folder_append(path),
+                checkpoint,
+                settings(window, window, watermark),
+            )
+        )
+    return query, path
+
+
+def merged_flow(spark: SparkSession, path: str) -> DataFrame:
+    kpi = KPIS["kpi_facility_flow"]
+    return merged_kpi(kpi, spark.read.parquet(f"{path}/{kpi.name}")).drop("ingested_at")
+
+
+def tracker_tables(
+    spark: SparkSession, sf_dir: str, limits: StateThresholds, watermark: str
+) -> dict[str, DataFrame]:
+    """Run the tracker over all scans in one batch; gives its two tables."""
+    path, checkpoint = new_scratch(spark, "tracker"), new_scratch(spark, "checkpoint")
+    with session_conf(spark, stream_conf()):
+        drain(
+            start_tracker(
+                {TRACKING: scan_stream(spark, sf_dir)},
+                dimensions(spark, sf_dir),
+                folder_append(path),
+                checkpoint,
+                settings("5 minutes", "1 minute", watermark, limits),
+            )
+        )
+    return {
+        name: spark.read.parquet(f"{path}/{name}")
+        for name in ("kpi_shipment_journey", "anomaly_alerts")
+    }
+
+
+def progress_of(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    return recorded(query, spark)

@@ -49,8 +49,13 @@ def build_silver(
     start,
     end,
     results_path: str | None = None,
+    fixed_event_time: bool = False,
 ) -> None:
-    """One run over [start, end). All event types of a topic go through one job."""
+    """One run over [start, end). All event types of a topic go through one job.
+
+    ``fixed_event_time`` promises that a repeated event id comes with the time it had
+    before; only the days of the run are then searched for matches.
+    """
     for topic in TOPICS:
         raw = warehouse.read_window(RAW_TABLES[topic], start, end)
         if raw is None or raw.isEmpty():
@@ -65,7 +70,7 @@ def build_silver(
             EVENT_KEY,
             "event_time",
             by=["event_type"],
-            key_fixes_partition=True,
+            key_fixes_partition=fixed_event_time,
         )
         _keep_rejected(warehouse, rejected, topic, end)
 
