@@ -67,7 +67,7 @@ def lookup(
     if adaptive and not fact.isStreaming:
         return fact.join(dim, list(on), "left")
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    copies = dim.withColumn("_salt", F.expr(f"explode(sequence(0L, {salts - 1}L))"))
     return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
 
 
