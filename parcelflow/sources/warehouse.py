@@ -1,8 +1,8 @@
 """Tables in a catalog: create, read a time range, append, replace, overwrite partitions.
 
-File tables (parquet) carry a date column ``day`` as partition. On a catalog whose tables
-know MERGE, set ``native_merge``; partitions are then ``days(ts)`` and rows are merged in
-place.
+File tables (parquet) carry a date column ``day`` as partition, or the first day of a
+coarser ``grain`` where days hold too few rows for a file. On a catalog whose tables know
+MERGE, set ``native_merge``; partitions are then ``days(ts)`` and rows are merged in place.
 """
 
 from __future__ import annotations
@@ -46,8 +46,10 @@ class Warehouse:
         catalog: str | None = None,
         provider: str = "parquet",
         native_merge: bool = False,
+        grain: str = "day",
     ):
         self.spark = spark
+        self.grain = grain
         self.database = f"{catalog}.{database}" if catalog else database
         self.provider = provider
         self.native_merge = native_merge
@@ -93,7 +95,10 @@ class Warehouse:
     def with_day(self, df: DataFrame, ts: str | None) -> DataFrame:
         if ts is None or self.native_merge:
             return df
-        return df.withColumn(DAY, F.to_date(ts))
+        return df.withColumn(DAY, self._day(F.col(ts)))
+
+    def _day(self, at: Column) -> Column:
+        return F.to_date(at if self.grain == "day" else F.date_trunc(self.grain, at))
 
     def stored(self, table: str) -> DataFrame:
         """The table with its partition column."""
@@ -114,11 +119,11 @@ class Warehouse:
         if start is not None:
             bound = as_timestamp(start)
             df = df.filter(F.col(ts) >= bound)
-            df = df.filter(F.col(DAY) >= F.to_date(bound)) if daily else df
+            df = df.filter(F.col(DAY) >= self._day(bound)) if daily else df
         if end is not None:
             bound = as_timestamp(end)
             df = df.filter(F.col(ts) < bound)
-            df = df.filter(F.col(DAY) <= F.to_date(bound)) if daily else df
+            df = df.filter(F.col(DAY) <= self._day(bound)) if daily else df
         return df.drop(DAY)
 
     def _in_table_order(self, df: DataFrame, table: str) -> DataFrame:
