@@ -109,7 +109,6 @@ def final_flow(
             start_final_kpi(
                 kpi,
                 parsed,
-                dimensions(spark, sf_dir),
                 folder_append(path),
                 checkpoint,
                 settings(window, window, watermark),
@@ -131,7 +130,6 @@ def partial_kpis(
             start_partial_kpis(
                 parsed,
                 TRACKING,
-                dimensions(spark, sf_dir),
                 folder_append(path),
                 checkpoint,
                 settings(window, window, watermark),

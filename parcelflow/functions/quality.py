@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +35,19 @@ def rules_for(topic: str, goods_only_on: str | None = None) -> dict[str, Column]
 
 
 def with_quality(df: DataFrame, topic: str, goods_only_on: str | None = None) -> DataFrame:
-    """Add ``dq_flags`` and ``is_valid``; no row is dropped."""
-    raised = [F.when(rule, F.lit(name)) for name, rule in rules_for(topic, goods_only_on).items()]
-    return df.withColumn("dq_flags", F.array_compact(F.array(*raised))).withColumn(
-        "is_valid", F.size("dq_flags") == 0
+    """Add ``dq_flags`` and ``is_valid``; no row is dropped.
+
+    ``is_valid`` repeats the rules instead of counting flags, so a reader that only filters
+    on it builds no arrays.
+    """
+    rules = rules_for(topic, goods_only_on)
+    raised = [F.when(rule, F.lit(name)) for name, rule in rules.items()]
+    broken = [F.coalesce(rule, F.lit(False)) for rule in rules.values()]
+    return df.withColumns(
+        {
+            "dq_flags": F.array_compact(F.array(*raised)),
+            "is_valid": ~reduce(lambda a, b: a | b, broken),
+        }
     )
 
 

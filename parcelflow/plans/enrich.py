@@ -88,22 +88,26 @@ CLEANED_LOOKUPS = [
 ]
 
 
+def event_measures(df: DataFrame, topic: str) -> DataFrame:
+    """The derived columns that need nothing but the event itself. KPIs need no more."""
+    if topic == FINANCIAL:
+        return df.withColumn("total_revenue", total_revenue())
+    out = df.withColumn("event_type_norm", normalised_type(F.col("event_type")))
+    if topic == SHIPMENT:
+        out = out.withColumn("volumetric_weight_gram", volumetric_gram()).withColumn(
+            "charged_weight_gram", F.greatest("weight_gram", "volumetric_weight_gram")
+        )
+    return out
+
+
 def enrich(
     df: DataFrame, topic: str, dims: Mapping[str, DataFrame], stamp: Column | None = None
 ) -> DataFrame:
     """Left-join the topic's dimensions and add its derived columns."""
-    out = apply_lookups(df, dims, TOPIC_LOOKUPS[topic])
-    if topic == FINANCIAL:
-        out = out.withColumn("total_revenue", total_revenue())
-    else:
-        out = out.withColumn("event_type_norm", normalised_type(F.col("event_type")))
+    out = event_measures(apply_lookups(df, dims, TOPIC_LOOKUPS[topic]), topic)
     if topic == SHIPMENT:
-        out = out.withColumn("volumetric_weight_gram", volumetric_gram()).withColumns(
-            {
-                "charged_weight_gram": F.greatest("weight_gram", "volumetric_weight_gram"),
-                "route_type": route_class(F.col("sender_is_remote"), F.col("receiver_is_remote")),
-            }
-        )
+        remote = route_class(F.col("sender_is_remote"), F.col("receiver_is_remote"))
+        out = out.withColumn("route_type", remote)
     return out.withColumn("enriched_at", F.current_timestamp() if stamp is None else stamp)
 
 
@@ -131,6 +135,14 @@ def deduplicated(df: DataFrame, watermark: str, bounded: bool = True) -> DataFra
     return marked.dropDuplicates(["event_id"])
 
 
+def measured_stream(
+    df: DataFrame, topic: str, watermark: str, bounded_dedup: bool = True
+) -> DataFrame:
+    """Parsed stream -> deduplicated, flagged stream with its own measures, for KPIs."""
+    flagged = with_quality(deduplicated(df, watermark, bounded_dedup), topic)
+    return event_measures(flagged, topic)
+
+
 def enriched_stream(
     df: DataFrame,
     topic: str,
@@ -138,6 +150,6 @@ def enriched_stream(
     watermark: str,
     bounded_dedup: bool = True,
 ) -> DataFrame:
-    """Parsed stream -> deduplicated, flagged, enriched stream."""
+    """The same with the topic's dimensions joined."""
     flagged = with_quality(deduplicated(df, watermark, bounded_dedup), topic)
     return enrich(flagged, topic, dims)

@@ -22,7 +22,8 @@ CLEAN_TABLES = {
 }
 REJECTED_TABLES = {topic: f"{table}_rejected" for topic, table in CLEAN_TABLES.items()}
 
-EVENT_KEY = ["event_type", "event_id"]
+# The id first: sorts then mostly settle on it.
+EVENT_KEY = ["event_id", "event_type"]
 ARRIVAL_ORDER = ["event_time", "kafka_partition", "kafka_offset"]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.functions.quality import with_quality
-from parcelflow.plans.enrich import enriched_stream
+from parcelflow.plans.enrich import measured_stream
 from parcelflow.plans.journey import unify, with_state_lookups
 from parcelflow.plans.kpis import Kpi, compute_kpi, intake_stats, kpis_of
 from parcelflow.settings import StreamSettings
@@ -37,19 +37,17 @@ def start_raw(parsed, topic, warehouse, checkpoint, settings) -> StreamingQuery:
     return _start(parsed, f"raw_{short(topic)}", "append", writer, checkpoint, settings)
 
 
-def start_partial_kpis(parsed, topic, dims, append: Append, checkpoint, settings) -> StreamingQuery:
+def start_partial_kpis(parsed, topic, append: Append, checkpoint, settings) -> StreamingQuery:
     """Low-latency mode: partial windows per batch, added up on read."""
-    enriched = intake_stats(enriched_stream(parsed, topic, dims, settings.watermarks[topic]))
+    events = intake_stats(measured_stream(parsed, topic, settings.watermarks[topic]))
     writer = kpi_writer(kpis_of(topic), settings.window, settings.slide, append)
-    return _start(enriched, f"kpi_{short(topic)}", "append", writer, checkpoint, settings)
+    return _start(events, f"kpi_{short(topic)}", "append", writer, checkpoint, settings)
 
 
-def start_final_kpi(
-    kpi: Kpi, parsed, dims, append: Append, checkpoint, settings
-) -> StreamingQuery:
+def start_final_kpi(kpi: Kpi, parsed, append: Append, checkpoint, settings) -> StreamingQuery:
     """Final mode: one row per window and key, once the watermark has closed the window."""
-    enriched = enriched_stream(parsed, kpi.topic, dims, settings.watermarks[kpi.topic])
-    rows = compute_kpi(kpi, enriched, settings.window, settings.slide)
+    events = measured_stream(parsed, kpi.topic, settings.watermarks[kpi.topic])
+    rows = compute_kpi(kpi, events, settings.window, settings.slide)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append(batch, kpi.name, batch_id)
@@ -85,6 +83,6 @@ def start_all(
     started = []
     for topic, stream in parsed.items():
         started.append(start_raw(stream, topic, warehouse, checkpoint, settings))
-        started.append(start_partial_kpis(stream, topic, dims, append, checkpoint, settings))
+        started.append(start_partial_kpis(stream, topic, append, checkpoint, settings))
     started.append(start_tracker(parsed, dims, append, checkpoint, settings))
     return started

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +42,6 @@ def sweep(
     kpi: Kpi,
     source: Callable[[], DataFrame],
     complete: DataFrame,
-    dims: Mapping[str, DataFrame],
     over: Iterable[Run],
     finish: Callable,
 ) -> DataFrame:
@@ -64,9 +63,7 @@ def sweep(
         )
         path, checkpoint = new_scratch(spark, "sweep"), new_scratch(spark, "checkpoint")
         query = finish(
-            start_partial_kpis(
-                source(), kpi.topic, dims, folder_append(path), checkpoint, settings
-            )
+            start_partial_kpis(source(), kpi.topic, folder_append(path), checkpoint, settings)
         )
         seen = merged_kpi(kpi, spark.read.parquet(f"{path}/{kpi.name}"))
         truth = compute_kpi(kpi, complete, run.window, run.window)

@@ -97,7 +97,7 @@ def test_settings_follow_the_environment(monkeypatch):
     assert made.trigger_args() == {"processingTime": "10 seconds"}
 
 
-def test_late_rows_are_dropped_and_counted(spark, feed, dims):
+def test_late_rows_are_dropped_and_counted(spark, feed):
     arrival = dict(facility_id="H1")
     feed.put(event("arrived_at_hub", 0, **arrival), event("arrived_at_hub", 600, **arrival))
     feed.put(event("arrived_at_hub", 700, **arrival))
@@ -107,7 +107,7 @@ def test_late_rows_are_dropped_and_counted(spark, feed, dims):
     spark.streams.addListener(log)
     with session_conf(spark, stream_conf(2)):
         query = drain(
-            start_partial_kpis(stream(spark, feed), TRACKING, dims, folder_append(path), new_scratch(spark, "c"), settings("5 minutes", "1 minute", "60 seconds"))
+            start_partial_kpis(stream(spark, feed), TRACKING, folder_append(path), new_scratch(spark, "c"), settings("5 minutes", "1 minute", "60 seconds"))
         )
     merged = merged_kpi(FLOW, spark.read.parquet(f"{path}/{FLOW.name}"))
     assert merged.agg(F.sum("inbound_count"), F.sum("outbound_count")).first()[:] == (3, 1)
@@ -194,14 +194,14 @@ def test_all_streams_together(spark, tmp_path, dims):
     assert spark.sql("SELECT alert_count FROM v_anomaly_summary").first()[0] == 1
 
 
-def test_sweep_loses_more_with_a_tighter_watermark(spark, feed, dims):
+def test_sweep_loses_more_with_a_tighter_watermark(spark, feed):
     for second in range(0, 600, 120):
         feed.put(event("arrived_at_hub", second, f"S{second}", facility_id="H1"), event("departed_hub", max(0, second - 400), f"L{second}", facility_id="H1"))
     assert len(runs()) == 10
     schema = topic_schema(TRACKING)
     batch = spark.read.schema(schema).json(str(feed.path))
     with session_conf(spark, stream_conf(2)):
-        out = sweep(spark, FLOW, lambda: stream(spark, feed), batch, dims, [Run("watermark", "15 seconds"), Run("watermark", "10 minutes")], drain)
+        out = sweep(spark, FLOW, lambda: stream(spark, feed), batch, [Run("watermark", "15 seconds"), Run("watermark", "10 minutes")], drain)
         rows = {r.watermark: r for r in out.collect()}
     assert rows["10 minutes"].deviation_pct == 0 and rows["10 minutes"].dropped_late_rows == 0
     assert rows["15 seconds"].dropped_late_rows > 0 and rows["15 seconds"].deviation_pct > 0
