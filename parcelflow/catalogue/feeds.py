@@ -7,7 +7,6 @@ Every feed maps each row of its table to one event. The same expressions, as SQL
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parcelflow.model import FINANCIAL, SHIPMENT, TRACKING
 from parcelflow.sources.dimensions import flat_facilities

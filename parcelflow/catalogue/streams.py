@@ -20,7 +20,7 @@ from parcelflow.streaming.app import (
     start_tracker,
 )
 from parcelflow.streaming.progress import recorded
-from parcelflow.streaming.sinks import folder_append
+from parcelflow.streaming.sinks import BATCH, folder_append
 
 DRAIN_S = 900
 
@@ -114,7 +114,7 @@ def final_flow(
                 settings(window, window, watermark),
             )
         )
-    return spark.read.parquet(f"{path}/{kpi.name}").drop("batch_id", "ingested_at")
+    return spark.read.parquet(f"{path}/{kpi.name}").drop(BATCH, "ingested_at")
 
 
 def partial_kpis(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +15,15 @@ from parcelflow.plans.journey import unify, with_state_lookups
 from parcelflow.plans.kpis import Kpi, compute_kpi, intake_stats, kpis_of
 from parcelflow.settings import StreamSettings
 from parcelflow.sources.warehouse import Warehouse, create_raw_tables
-from parcelflow.streaming.sinks import Append, kpi_writer, raw_writer, tracker_writer
+from parcelflow.streaming.progress import ProgressLog
+from parcelflow.streaming.sinks import (
+    Append,
+    batch_name,
+    kpi_writer,
+    progress_writer,
+    raw_writer,
+    tracker_writer,
+)
 from parcelflow.streaming.tracker import tracked_stream
 
 
@@ -40,19 +50,22 @@ def start_raw(parsed, topic, warehouse, checkpoint, settings) -> StreamingQuery:
 def start_partial_kpis(parsed, topic, append: Append, checkpoint, settings) -> StreamingQuery:
     """Low-latency mode: partial windows per batch, added up on read."""
     events = intake_stats(measured_stream(parsed, topic, settings.watermarks[topic]))
-    writer = kpi_writer(kpis_of(topic), settings.window, settings.slide, append)
-    return _start(events, f"kpi_{short(topic)}", "append", writer, checkpoint, settings)
+    query = f"kpi_{short(topic)}"
+    name = partial(batch_name, checkpoint, query)
+    writer = kpi_writer(kpis_of(topic), settings.window, settings.slide, append, name)
+    return _start(events, query, "append", writer, checkpoint, settings)
 
 
 def start_final_kpi(kpi: Kpi, parsed, append: Append, checkpoint, settings) -> StreamingQuery:
     """Final mode: one row per window and key, once the watermark has closed the window."""
     events = measured_stream(parsed, kpi.topic, settings.watermarks[kpi.topic])
     rows = compute_kpi(kpi, events, settings.window, settings.slide)
+    query = f"final_{kpi.name}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append(batch, kpi.name, batch_id)
+        append(batch, kpi.name, batch_name(checkpoint, query, batch_id))
 
-    return _start(rows, f"final_{kpi.name}", "append", write, checkpoint, settings)
+    return _start(rows, query, "append", write, checkpoint, settings)
 
 
 def unified_stream(parsed: Mapping[str, DataFrame], settings: StreamSettings) -> DataFrame:
@@ -66,7 +79,8 @@ def unified_stream(parsed: Mapping[str, DataFrame], settings: StreamSettings) ->
 def start_tracker(parsed, dims, append: Append, checkpoint, settings) -> StreamingQuery:
     events = with_state_lookups(unified_stream(parsed, settings), dims)
     output = tracked_stream(events, settings.thresholds)
-    return _start(output, "tracker", "update", tracker_writer(append), checkpoint, settings)
+    writer = tracker_writer(append, partial(batch_name, checkpoint, "tracker"))
+    return _start(output, "tracker", "update", writer, checkpoint, settings)
 
 
 def start_all(
@@ -76,13 +90,35 @@ def start_all(
     append: Append,
     checkpoint: str,
     settings: StreamSettings | None = None,
-) -> list[StreamingQuery]:
-    """All queries: raw and KPI per topic, and the tracker."""
+) -> tuple[list[StreamingQuery], ProgressLog]:
+    """All queries: raw and KPI per topic, and the tracker; and the log of their progress."""
     settings = settings or StreamSettings()
     create_raw_tables(warehouse)
+    log = ProgressLog(warehouse.spark, progress_writer(append, uuid.uuid4().hex[:12]))
+    warehouse.spark.streams.addListener(log)
     started = []
     for topic, stream in parsed.items():
         started.append(start_raw(stream, topic, warehouse, checkpoint, settings))
         started.append(start_partial_kpis(stream, topic, append, checkpoint, settings))
     started.append(start_tracker(parsed, dims, append, checkpoint, settings))
-    return started
+    return started, log
+
+
+def await_streams(queries: list[StreamingQuery], log: ProgressLog, every_s: float = 30) -> None:
+    """Wait until all queries have ended, writing their progress meanwhile.
+
+    The first query that fails stops the others and raises.
+    """
+    running = list(queries)
+    try:
+        while running:
+            if running[0].awaitTermination(every_s):
+                running.pop(0)
+            for query in running:
+                if query.exception() is not None:
+                    raise query.exception()
+            log.flush()
+    finally:
+        for query in running:
+            query.stop()
+        log.flush()

@@ -38,25 +38,25 @@ def progress_row(progress) -> tuple:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects progress rows and hands full blocks to ``write``.
+    """Collects progress rows, one per micro-batch, until ``flush`` writes them.
 
-    The listener runs on the driver; it holds at most ``block`` rows, one per batch.
+    The listener's own thread runs no Spark job; the thread that waits for the queries
+    flushes (see ``app.await_streams``).
     """
 
-    def __init__(self, spark: SparkSession, write=None, block: int = 100):
+    def __init__(self, spark: SparkSession, write=None):
         super().__init__()
-        self.spark, self.write, self.block = spark, write, block
+        self.spark, self.write = spark, write
         self.rows: list[tuple] = []
         self.lock = threading.Lock()
 
-    def frame(self, rows=None) -> DataFrame:
-        return self.spark.createDataFrame(self.rows if rows is None else rows, PROGRESS)
-
-    def flush(self) -> None:
+    def flush(self) -> int:
+        """Write the rows collected so far; gives their number."""
         with self.lock:
             rows, self.rows = self.rows, []
         if rows and self.write:
-            self.write(self.frame(rows))
+            self.write(self.spark.createDataFrame(rows, PROGRESS))
+        return len(rows)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -64,16 +64,12 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         with self.lock:
             self.rows.append(progress_row(event.progress))
-            full = self.write is not None and len(self.rows) >= self.block
-        if full:
-            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        if self.write is not None:
-            self.flush()
+        pass
 
 
 def recorded(query, spark: SparkSession) -> DataFrame:

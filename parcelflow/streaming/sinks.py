@@ -1,11 +1,14 @@
 """Sinks of the streams: raw tables, KPI partials and final windows, journeys, alerts.
 
 A sink for partial rows writes each batch to a partition of its own and overwrites it, so
-a batch that is run again replaces its rows instead of adding them twice.
+a batch that is run again replaces its rows instead of adding them twice. The partition is
+named after the query's checkpoint and the batch.
 """
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -18,13 +21,21 @@ from parcelflow.sources.warehouse import RAW_TABLES, Warehouse
 from parcelflow.streaming.tracker import alert_rows, journey_rows
 
 BatchWriter = Callable[[DataFrame, int], None]
-Append = Callable[[DataFrame, str, int], None]
+# Takes rows, table and the name of the batch they come from.
+Append = Callable[[DataFrame, str, str], None]
+
+BATCH = "source_batch"
+
+
+def batch_name(checkpoint: str, query: str, batch_id: int) -> str:
+    run = hashlib.sha256(f"{checkpoint}/{query}".encode()).hexdigest()[:12]
+    return f"{run}-{batch_id}"
 
 
 def jdbc_append(url: str, properties: Mapping[str, str]) -> Append:
     """Append rows to a table of a relational store."""
 
-    def append(df: DataFrame, table: str, batch_id: int) -> None:
+    def append(df: DataFrame, table: str, batch: str) -> None:
         df.write.jdbc(url, table, mode="append", properties=dict(properties))
 
     return append
@@ -33,10 +44,10 @@ def jdbc_append(url: str, properties: Mapping[str, str]) -> Append:
 def folder_append(root: str) -> Append:
     """One folder per table, one partition per query run and batch."""
 
-    def append(df: DataFrame, table: str, batch_id: int) -> None:
+    def append(df: DataFrame, table: str, batch: str) -> None:
         (
-            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.partitionBy("batch_id")
+            df.withColumn(BATCH, F.lit(batch))
+            .write.partitionBy(BATCH)
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite")
             .parquet(f"{root}/{table}")
@@ -48,10 +59,10 @@ def folder_append(root: str) -> Append:
 def table_append(warehouse: Warehouse) -> Append:
     """The same in catalog tables."""
 
-    def append(df: DataFrame, table: str, batch_id: int) -> None:
-        rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    def append(df: DataFrame, table: str, batch: str) -> None:
+        rows = df.withColumn(BATCH, F.lit(batch))
         if not warehouse.exists(table):
-            warehouse.like(rows, table, None, by=["batch_id"])
+            warehouse.like(rows, table, None, by=[BATCH])
         warehouse.overwrite_partitions(rows, table)
 
     return append
@@ -85,37 +96,44 @@ def raw_writer(warehouse: Warehouse, topic: str) -> BatchWriter:
     return write
 
 
-def kpi_writer(kpis: Sequence[Kpi], window: str, slide: str, append: Append) -> BatchWriter:
+def kpi_writer(
+    kpis: Sequence[Kpi], window: str, slide: str, append: Append, name: Callable[[int], str] = str
+) -> BatchWriter:
     """Partial windows of each batch, from one cached read of it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             for kpi in kpis:
-                append(compute_kpi(kpi, batch, window, slide), kpi.name, batch_id)
+                append(compute_kpi(kpi, batch, window, slide), kpi.name, name(batch_id))
         finally:
             batch.unpersist()
 
     return write
 
 
-def tracker_writer(append: Append) -> BatchWriter:
+def tracker_writer(append: Append, name: Callable[[int], str] = str) -> BatchWriter:
     """Journey rows and alerts of each batch to their tables."""
+    tables = {"kpi_shipment_journey": journey_rows, "anomaly_alerts": alert_rows}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            append(
-                fill_unknown(journey_rows(batch)).withColumn("ingested_at", F.current_timestamp()),
-                "kpi_shipment_journey",
-                batch_id,
-            )
-            append(
-                fill_unknown(alert_rows(batch)).withColumn("ingested_at", F.current_timestamp()),
-                "anomaly_alerts",
-                batch_id,
-            )
+            for table, rows in tables.items():
+                stamped = fill_unknown(rows(batch)).withColumn("ingested_at", F.current_timestamp())
+                append(stamped, table, name(batch_id))
         finally:
             batch.unpersist()
 
     return write
+
+
+def progress_writer(append: Append, run: str) -> Callable[[DataFrame], None]:
+    """Blocks of progress rows to their table."""
+    blocks = itertools.count()
+
+    def write(rows: DataFrame) -> None:
+        stamped = rows.withColumn("ingested_at", F.current_timestamp())
+        append(stamped, "streaming_query_progress", f"{run}-{next(blocks)}")
+
+    return write

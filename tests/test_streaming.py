@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from parcelflow.catalogue.streams import drain, settings, stream_conf
 from parcelflow.model import FINANCIAL, SHIPMENT, TOPICS, TRACKING, topic_schema
 from parcelflow.plans.kpis import KPIS, compute_kpi, merged_kpi
-from parcelflow.plans.serving import register_views, shipment_journey
+from parcelflow.plans.serving import register_views, shipment_journey, stream_progress_summary
 from parcelflow.session import new_scratch, scratch_root, session_conf
 from parcelflow.settings import StateThresholds, StreamSettings
 from parcelflow.sources.topics import decode, file_topic
 from parcelflow.sources.warehouse import Warehouse
-from parcelflow.streaming.app import start_all, start_partial_kpis, start_tracker
+from parcelflow.streaming.app import await_streams, start_all, start_partial_kpis, start_tracker
 from parcelflow.streaming.progress import ProgressLog, finite
-from parcelflow.streaming.sinks import folder_append
+from parcelflow.streaming.sinks import batch_name, folder_append
 from parcelflow.streaming.sweep import Run, runs, sweep
 
 LIMITS = StateThresholds(20, 40, 14, 43, 60)
@@ -123,7 +123,7 @@ def test_replayed_batch_replaces_its_partials(spark):
     append = folder_append(new_scratch(spark, "replay"))
     rows = spark.createDataFrame([("H1", 2)], "facility_id string, n int")
     for batch in (0, 1, 1):
-        append(rows, "t", batch)
+        append(rows, "t", batch_name("/c", "q", batch))
     root = append.__closure__[0].cell_contents
     assert spark.read.parquet(f"{root}/t").agg(F.sum("n")).first()[0] == 4
 
@@ -178,8 +178,12 @@ def test_all_streams_together(spark, tmp_path, dims):
     path = new_scratch(spark, "serving")
     conf = replace(StreamSettings(), available_now=True, thresholds=LIMITS)
     with session_conf(spark, stream_conf(2)):
-        for query in start_all(warehouse, parsed, dims, folder_append(path), new_scratch(spark, "c"), conf):
-            drain(query)
+        queries, log = start_all(warehouse, parsed, dims, folder_append(path), new_scratch(spark, "c"), conf)
+        await_streams(queries, log, 2)
+        spark.streams.removeListener(log)
+    progress = spark.read.parquet(f"{path}/streaming_query_progress")
+    assert {r.query_name for r in progress.collect()} >= {"tracker"}
+    assert stream_progress_summary({"streaming_query_progress": progress}).count() > 0
     assert {t: warehouse.read(f"raw_{t.split('.')[1]}").count() for t in TOPICS} == {SHIPMENT: 2, TRACKING: 3, FINANCIAL: 2}
     tables = {n: spark.read.parquet(f"{path}/{n}") for n in [*KPIS, "kpi_shipment_journey", "anomaly_alerts"] if n != "kpi_failure_reason"}
     fin = merged_kpi(KPIS["kpi_financial"], tables["kpi_financial"]).filter("window_start = '2024-01-01 00:00:00'").first()
