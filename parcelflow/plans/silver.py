@@ -27,16 +27,22 @@ EVENT_KEY = ["event_id", "event_type"]
 ARRIVAL_ORDER = ["event_time", "kafka_partition", "kafka_offset"]
 
 
-def cleaned(
-    raw: DataFrame, topic: str, dims: Mapping[str, DataFrame], stamp: Column | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Enriched valid rows, one per event, and the rows set aside with their flags.
+def valid_events(raw: DataFrame, topic: str) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, one per event, and the rows set aside with their flags.
 
     Goods rules hold for creations only; other shipment events carry no goods.
     """
     known = raw.filter(F.col("event_type").isin(event_types(topic)))
     passed, rejected = split_by_quality(known, topic, goods_only_on="shipment_created")
-    return enrich_cleaned(first_per_key(passed, EVENT_KEY, ARRIVAL_ORDER), dims, stamp), rejected
+    return first_per_key(passed, EVENT_KEY, ARRIVAL_ORDER), rejected
+
+
+def cleaned(
+    raw: DataFrame, topic: str, dims: Mapping[str, DataFrame], stamp: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The same with the valid rows enriched."""
+    valid, rejected = valid_events(raw, topic)
+    return enrich_cleaned(valid, dims, stamp), rejected
 
 
 def clean_events(warehouse: Warehouse, topic: str, event_type: str) -> DataFrame:
