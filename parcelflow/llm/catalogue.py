@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import decontaminate, mixing, quality, sharding, simhash
+from parcelflow.llm import decontaminate, extract, language, mixing, quality, sharding, simhash, suffixes, tokens, topk
 from parcelflow.llm.common import table
 
 SHARDS = 8
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the public vocabularies are installed; the package comes with them."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +30,27 @@ def op2_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extracted(table(spark, sf_dir, "pages"))
+
+
+def op7_ngram_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predicted(docs, language.learn(docs))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_plan(table(spark, sf_dir, "documents"))
 
@@ -37,12 +62,16 @@ def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_kd_sharding": op1_kd_sharding,
-    "op2_rule_quality": op2_rule_quality,
-    "op5_template_decontamination": op5_template_decontamination,
-    "op8_source_mixing": op8_source_mixing,
-    "op9_simhash_bktree": op9_simhash_bktree,
+    query.__name__: query
+    for query in (
+        op1_kd_sharding, op2_rule_quality, op3_histogram_topk, op4_suffix_repeats, op5_template_decontamination,
+        op6_text_density, op7_ngram_bitmask, op8_source_mixing, op9_simhash_bktree, op10_token_files,
+    )
 }
 
-LLM_SQL: dict[str, str] = {"op8_source_mixing": mixing.ORACLE_SQL}
+LLM_SQL: dict[str, str] = {"op3_histogram_topk": topk.ORACLE_SQL, "op8_source_mixing": mixing.ORACLE_SQL}

@@ -18,13 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm.common import staged, text_batches
+from parcelflow.llm.hashfilter import build_filter, may_hold
 
 #: Template words in a window. Items with fewer words are one window of their own length.
 WINDOW = 10
 #: Words of a window that must not be placeholders (of a shorter item: half of its words).
 LITERALS = 5
-#: Logarithm of the bits of the filter that is sent to the tasks, whatever the benchmark's size (8 MB).
-FILTER_LOG = 26
 
 NUMBER, NAME, UNIT, QUANTITY = "<number>", "<name>", "<unit>", "<quantity>"
 UNITS = frozenset(
@@ -144,7 +143,7 @@ def _rows(
         for size in [min(WINDOW, len(hashes))] if wanted is None else wanted[0]:
             starts, found = _windows(hashes, kinds, size)
             if wanted is not None:
-                hit = _in_filter(wanted[1], found)
+                hit = may_hold(wanted[1], found)
                 starts, found = starts[hit], found[hit]
             for at, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True):
                 slots = [lexicon.values[n] for n, k in zip(numbers[at : at + size], kinds[at : at + size], strict=True) if k]
@@ -160,38 +159,6 @@ def _rows(
         )
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_LOG)
-
-
-def _in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = _slots(hashes)
-    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-
-
-def _filter(windows: DataFrame) -> np.ndarray:
-    """Bits set for the windows' hashes. Made per task, joined bitwise; its size is fixed."""
-    size = (1 << FILTER_LOG) // 8
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = [
-            _slots(b.column("hash").to_numpy().view(np.uint64)) for b in batches
-        ]
-        if slots:
-            every = np.unique(np.concatenate(slots))
-            byte, value = (every >> np.uint64(3)).astype(np.int32), np.uint8(1) << (every & np.uint64(7)).astype(np.uint8)
-            first = np.flatnonzero(np.r_[True, byte[1:] != byte[:-1]]) if len(byte) else np.array([], np.int64)
-            if len(first):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(byte[first]), pa.array(np.bitwise_or.reduceat(value, first).astype(np.int32))], ["byte", "bits"]
-                )
-
-    merged = windows.select("hash").mapInArrow(run, "byte int, bits int").groupBy("byte").agg(F.bit_or("bits").alias("bits"))
-    found, bits = merged.toPandas(), np.zeros(size, np.uint8)
-    bits[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
-    return bits
-
-
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
@@ -213,7 +180,7 @@ def contaminated(
     whole = items.groupBy("id").agg(F.hash(F.sort_array(F.collect_set(F.struct("at", "hash", "pattern")))).alias("set"), F.count("*").alias("n"))
     first = whole.groupBy("set", "n").agg(F.min("id").alias("id"))
     sizes = [r[0] for r in items.select("size").distinct().collect()]
-    bits = spark.sparkContext.broadcast(_filter(items))
+    bits = spark.sparkContext.broadcast(build_filter(items))
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
