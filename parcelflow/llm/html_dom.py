@@ -16,6 +16,8 @@ BLOCKS = frozenset(
 #: A start tag of the key ends open elements of the value, within the nearest of their containers.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}, "option": {"option"}}
+#: What is nested deeper hangs on the element at this depth; no text is lost.
+MAX_DEPTH = 150
 CONTAINERS = frozenset("ul ol menu dl table select body article section div".split())
 
 _TOKEN = re.compile(
@@ -56,7 +58,7 @@ def parse(html: str) -> Node:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
             node.children.append(unescape(html[at : end.start() if end else len(html)]))
             at = end.end() if end else len(html)
-        elif tag not in VOID:
+        elif tag not in VOID and len(stack) < MAX_DEPTH:
             stack.append(node)
     return root
 
