@@ -15,6 +15,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,35 +28,72 @@ from parcelflow.llm.common import staged, text_batches
 from parcelflow.session import new_scratch
 
 END_ID = 1
-#: Words that a task remembers the ids of.
-LEXICON = 300_000
+#: Pieces, and parts of pieces, that a Python worker remembers the ids of.
+LEXICON = 600_000
 #: ASCII white space; the tokenizer never joins what it parts.
 _PIECE = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Printable ASCII without the apostrophe, and the letters of Latin-1; their composition is fixed.
+_LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+_PLAIN = re.compile(rb"(?:[!-&(-~]|" + _LETTER + rb")+")
+_PART = re.compile(_LETTER + rb"+|[0-9]|[!-/:-@\[-`{-~]+")
 
 INDEX = "part int, ids string, docs string, null_ids long, documents long, tokens long"
 
 
 class Encoder(dict):
-    """Bytes of the ids of each piece between white space, by the tokenizers library.
+    """Bytes of the ids of each piece between white space, all from the tokenizers library.
 
-    Only for tokenizers that drop white space and never look across it; then a text's ids are
-    those of its pieces. A piece is encoded once per task.
+    Only for tokenizers in lower case that drop white space, never look across it, part letters,
+    digits and marks, and end each word with a token of its own kind; then a text's ids are those
+    of its pieces, and a piece's are those of its runs of letters, single digits and runs of
+    marks. New ones are encoded together, parted by spaces, and cut behind their last tokens.
+    Pieces with an apostrophe, a special token or letters beyond Latin-1 are encoded alone.
     """
 
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
-
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
-        self[piece] = out = np.array(ids, self.kind).tobytes()
-        return out
-
-    def encode(self, text: bytes | None, end: bytes) -> bytes:
+        self.tokenizer, self.kind, self.parts = Tokenizer.from_file(path), kind, {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _ids(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, self.kind)
+
+    def learn(self, pieces: set[bytes]) -> None:
+        plain = {p: _PART.findall(p.lower()) for p in pieces if _PLAIN.fullmatch(p) and b"<|" not in p}
+        new = list(set().union(*plain.values()).difference(self.parts))
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            ids = self._ids(b" ".join(some))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):
+                raise ValueError("this tokenizer doesn't end each word with a token of its own kind")
+            size, raw = ids.itemsize, ids.tobytes()
+            bounds = [0, *(cuts * size).tolist()]
+            self.parts.update((part, raw[a:b]) for part, a, b in zip(some, bounds[:-1], bounds[1:], strict=True))
+        for piece in pieces:
+            parts = plain.get(piece)
+            self[piece] = self._ids(piece).tobytes() if parts is None else b"".join(map(self.parts.__getitem__, parts))
+
+    def encode(self, texts: list[bytes | None], end: bytes) -> list[bytes]:
         if len(self) > LEXICON:
             self.clear()
-        return b"".join(map(self.__getitem__, _PIECE.findall(text or b""))) + end
+        if len(self.parts) > LEXICON:
+            self.parts.clear()
+        out = []
+        for at in range(0, len(texts), 1024):
+            pieces = [_PIECE.findall(t or b"") for t in texts[at : at + 1024]]
+            self.learn(set().union(*pieces).difference(self))
+            out += [b"".join(map(self.__getitem__, p)) + end for p in pieces]
+        return out
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str, kind: str) -> Encoder:
+    """Kept between the tasks of one Python worker."""
+    return Encoder(path, kind)
 
 
 def id_type(tokenizer_path: str) -> str:
@@ -100,11 +138,17 @@ def write_corpus(
     end = np.array([END_ID], kind).tobytes()
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
+    # Bounds of the parts come from the ids alone, so no text is encoded for a sample.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / parts for i in range(1, parts)]
+    bounds = np.array(slim.select(F.percentile_approx("id", shares, 10 * parts)).first()[0] or [] if shares else [], np.int64)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = Encoder(tokenizer_path, kind), zstandard.ZstdCompressor(level=1)
+        encoder, packer = _encoder(tokenizer_path, kind), zstandard.ZstdCompressor(level=1)
         for batch, texts in text_batches(batches, "text"):
-            packed = [packer.compress(encoder.encode(t, end)) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["id", "packed"])
+            packed = [packer.compress(ids) for ids in encoder.encode(texts, end)]
+            part = np.searchsorted(bounds, batch.column("id").fill_null(-(2**63)).to_numpy(), "left").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column(0), pa.array(packed, pa.binary())], ["part", "id", "packed"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -131,7 +175,8 @@ def write_corpus(
             {"part": pa.array([part], pa.int32()), "ids": [f"{name}.ids"], "docs": [f"{name}.docs"], "null_ids": [nulls], "documents": [count], "tokens": [tokens]}
         )
 
-    ordered = slim.mapInArrow(encode, "id long, packed binary").repartitionByRange("id").sortWithinPartitions("id")
+    encoded = slim.mapInArrow(encode, "part int, id long, packed binary")
+    ordered = encoded.repartitionById(parts, F.col("part")).sortWithinPartitions("id").select("id", "packed")
     written = staged(ordered.mapInArrow(write, INDEX), "token-parts")
     # One row per part, however large the parts are.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
