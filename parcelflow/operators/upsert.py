@@ -61,7 +61,8 @@ def merge_rows(
     rules = rules or {}
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
-    match = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    # A null in a key is a value like any other, so a rerun finds the rows it wrote.
+    match = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
 
     def of_t(name: str) -> Column:
         return F.col(f"t.{name}")
@@ -112,7 +113,9 @@ def upsert(
 
     touched = fresh.select(*parts)
     if not key_fixes_partition:
-        matched = stored.select(*keys, *parts).join(fresh.select(*keys), list(keys), "left_semi")
+        sought = fresh.select(*[F.col(k).alias(f"_sought_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_sought_{k}")) for k in keys]
+        matched = stored.select(*dict.fromkeys([*keys, *parts])).join(sought, same, "left_semi")
         touched = touched.unionByName(matched.select(*parts))
     # Bounded by days x event types, not by rows.
     places = [tuple(row) for row in touched.distinct().collect()]
@@ -145,7 +148,7 @@ def _merge_in_place(warehouse, source, table, keys, rules) -> None:
 
     condition = F.lit(True)
     for key in keys:
-        condition = condition & (of_t(key) == of_s(key))
+        condition = condition & of_t(key).eqNullSafe(of_s(key))
     values = {c: rules.get(c, from_source(c))(of_t, of_s) for c in source.columns if c not in keys}
     merge = source.alias("s").mergeInto(name, condition)
     merge.whenMatched().update(values).whenNotMatched().insertAll().merge()

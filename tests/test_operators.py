@@ -160,3 +160,11 @@ def test_presence_rolls_forward(spark):
         "F": (1, "100.00"),
         "G": (1, "33.33"),
     }
+
+
+def test_rows_with_null_keys_are_updated_not_repeated(spark):
+    schema = "shipment_id string, attempt_no int, result string"
+    rows = spark.createDataFrame([("S1", None, "a"), ("S2", 1, "b"), (None, None, "c")], schema)
+    once = merge_rows(rows, rows, ["shipment_id", "attempt_no"])
+    again = merge_rows(once, rows, ["shipment_id", "attempt_no"])
+    assert sorted(map(str, again.collect())) == sorted(map(str, rows.collect()))
