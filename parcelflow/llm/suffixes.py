@@ -5,7 +5,8 @@ hash of ANCHOR words among each window of them that a passage of `min_words` hol
 keep equal suffixes, so every repeat of min_words or more has a kept suffix on both sides. Kept
 suffixes whose first words occur in other documents are sorted by range partitions; each is
 compared with its neighbours from other documents and the match is extended right and left.
-Where a farther one may match better than both, hashes of whole windows decide. Overlapping matches of a document are joined to whole passages.
+Where a farther one may match better than both, hashes of whole windows decide, inside the task
+that holds all suffixes with these first words, and across tasks where none does. Overlapping matches of a document are joined to whole passages.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ MIN_WORDS = 50
 ANCHOR = 16
 #: Distinct words a task remembers.
 LEXICON = 300_000
-#: Windows whose minimum is taken at once.
-BLOCK = 1 << 16
+#: Words looked at together; short texts are joined to such blocks, long ones are cut into them.
+BLOCK = 1 << 17
+#: Suffixes that begin alike and are held together in a task; of more, windows are compared across tasks.
+GROUP = 4096
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Words(dict):
@@ -44,37 +48,71 @@ class Words(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint32, len(words))
 
 
-def minimisers(words: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the kept suffixes: one at least in every min_words words."""
-    n = len(words) - ANCHOR + 1
-    window = min_words - ANCHOR + 1
-    if n < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = np.zeros(n, np.uint64)
-    for i in range(ANCHOR):
-        h = (h + words[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+def _anchors(words: np.ndarray) -> np.ndarray:
+    """Hashes of ANCHOR words from each position, from those of half as many."""
+    h, held = words.astype(np.uint64), 1
+    while held < ANCHOR:
+        first = h[:-held] * _MIX
+        h = ((first ^ (first >> np.uint64(32))) + h[held:]) * np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
-    at = []
-    for first in range(0, n - window + 1, BLOCK):
-        part = h[first : first + BLOCK + window - 1]
-        views = np.lib.stride_tricks.sliding_window_view(part, window)
-        at.append(np.unique(views.argmin(axis=1) + np.arange(first, first + len(views))))
-    at = np.unique(np.concatenate(at))
-    return at, h[at]
+        held *= 2
+    return h
+
+
+def _leftmost(h: np.ndarray, window: int) -> np.ndarray:
+    """Position of the leftmost smallest value in each window."""
+    at, held = np.arange(len(h)), 1
+    while held < window:
+        step = min(held, window - held)
+        first = h[:-step] <= h[step:]
+        at = np.where(first, at[:-step], at[step:])
+        h = np.where(first, h[:-step], h[step:])
+        held += step
+    return at
+
+
+def minimisers(words: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the kept suffixes: one at least in every min_words words. A 0 is no word."""
+    at, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for first in range(0, len(words) - min_words + 1, BLOCK):
+        part = words[first : first + BLOCK + min_words - 1]
+        gaps = np.r_[0, np.cumsum(part == 0)]
+        h = _anchors(part)
+        found = np.unique(_leftmost(h, min_words - ANCHOR + 1)[gaps[min_words:] == gaps[:-min_words]])
+        at.append(found + first)
+        hashes.append(h[found])
+    at, one = np.unique(np.concatenate(at), return_index=True)
+    return at, np.concatenate(hashes)[one]
+
+
+def _blocks(texts: list, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, starts, rows): the words of several texts, each with `reach` zeros on both sides."""
+    lexicon, gap = Words(), np.zeros(reach, np.uint32)
+    parts, starts, rows, n = [gap], [], [], reach
+    for row, text in enumerate(texts):
+        words = lexicon.hashes(text)
+        if len(words) <= reach:
+            continue
+        starts.append(n)
+        rows.append(row)
+        parts += [words, gap]
+        n += len(words) + reach
+        if n > BLOCK:
+            yield np.concatenate(parts), np.array(starts), np.array(rows)
+            parts, starts, rows, n = [gap], [], [], reach
+    if rows:
+        yield np.concatenate(parts), np.array(starts), np.array(rows)
 
 
 def _kept(docs: DataFrame, min_words: int) -> DataFrame:
     """(id, hash): every kept suffix's first words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Words()
         for batch, texts in text_batches(batches, "text"):
-            found = [np.unique(minimisers(lexicon.hashes(t), min_words)[1]) for t in texts]
-            rows = np.repeat(np.arange(len(texts)), [len(f) for f in found])
-            if len(rows):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(rows)), pa.array(np.concatenate(found).view(np.int64))], ["id", "hash"]
-                )
+            for words, starts, rows in _blocks(texts, min_words - ANCHOR):
+                at, h = minimisers(words, min_words)
+                of = rows[np.searchsorted(starts, at, "right") - 1]
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(of, pa.int64())), pa.array(h.view(np.int64))], ["id", "hash"])
 
     return docs.mapInArrow(run, "id long, hash long")
 
@@ -88,24 +126,23 @@ def _with_context(docs: DataFrame, min_words: int, bits) -> DataFrame:
     reach = min_words - ANCHOR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Words()
         steps = np.arange(reach)
-        pack = lambda m: pa.array([r.tobytes() for r in m.astype(">u4")], pa.binary())
+        pack = lambda m: pa.Array.from_buffers(pa.binary(4 * reach), len(m), [None, pa.py_buffer(m.astype(">u4").tobytes())]).cast(pa.binary())
         for batch, texts in text_batches(batches, "text"):
-            for row, text in enumerate(texts):
-                words = lexicon.hashes(text)
-                at, h = minimisers(words, min_words)
+            for words, starts, rows in _blocks(texts, reach):
+                every, h = minimisers(words, min_words)
                 hit = may_hold(bits.value, h)
-                at, h = at[hit], h[hit]
-                if not len(at):
-                    continue
-                padded = np.r_[np.zeros(reach, np.uint32), words, np.zeros(reach, np.uint32)]
-                right = padded[at[:, None] + reach + ANCHOR + steps]
-                left = padded[at[:, None] + reach - 1 - steps]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pack(right), pack(left), batch.column("id").take(pa.array([row] * len(at))), pa.array(at)],
-                    ["hash", "right", "left", "id", "at"],
-                )
+                every, h = every[hit], h[hit]
+                for first in range(0, len(every), GROUP):
+                    at = every[first : first + GROUP]
+                    text = np.searchsorted(starts, at, "right") - 1
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(h[first : first + GROUP].view(np.int64)), pack(words[at[:, None] + ANCHOR + steps]), pack(words[at[:, None] - 1 - steps]),
+                            batch.column("id").take(pa.array(rows[text])), pa.array(at - starts[text]),
+                        ],
+                        ["hash", "right", "left", "id", "at"],
+                    )
 
     return docs.mapInArrow(run, "hash long, right binary, left binary, id long, at long")
 
@@ -124,6 +161,12 @@ class _Rows:
         self.hash, self.id, self.at = (batch.column(c).to_numpy() for c in ("hash", "id", "at"))
         self.right, self.left = wide("right"), wide("left")
 
+    def take(self, rows: np.ndarray) -> _Rows:
+        out = object.__new__(_Rows)
+        for name, values in vars(self).items():
+            setattr(out, name, values[rows])
+        return out
+
     def matches(self, rows: np.ndarray, others: np.ndarray, min_words: int) -> pa.RecordBatch:
         """Spans of rows that they share with others, where long enough."""
         same = (self.hash[rows] == self.hash[others]) & (self.id[rows] != self.id[others])
@@ -137,12 +180,89 @@ class _Rows:
             ["id", "start", "end", "other"],
         )
 
+    def windows(self, min_words: int) -> np.ndarray:
+        """Hashes of the min_words words around each suffix's first ones, by how many stand before; 0 where there is none."""
+        sides, reach = [], min_words - ANCHOR
+        for words in (self.left, self.right):
+            h = self.hash.view(np.uint64).copy()
+            sides.append([h])
+            for i in range(reach):
+                h = (h + words[:, i]) * _MIX
+                h = h ^ (h >> np.uint64(29))
+                sides[-1].append(h)
+        held = [(words != 0).sum(axis=1) for words in (self.left, self.right)]
+        out = np.zeros((len(self.hash), reach + 1), np.uint64)
+        for back in range(reach + 1):
+            h = (sides[0][back] + np.uint64(back)) * np.uint64(0xD6E8FEB86659FD93) ^ sides[1][reach - back]
+            out[:, back] = np.where((held[0] >= back) & (held[1] >= reach - back), h | np.uint64(1), 0)
+        return out
+
+
+def _solved(batch: pa.RecordBatch, min_words: int, whole: bool) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """Spans whose windows another document of the batch holds; the batch is sorted by hash.
+
+    whole: all suffixes that begin like those of the batch are in it. If not, two holders of each
+    window, or its only one, are given as windows too, to be compared with other tasks'.
+    """
+    if whole:
+        hashes, ids = batch.column("hash").to_numpy(), batch.column("id").to_numpy()
+        starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+        sizes = np.diff(np.r_[starts, len(hashes)])
+        # Of two suffixes each is the other's neighbour.
+        more = (sizes > 2) & (np.minimum.reduceat(ids, starts) < np.maximum.reduceat(ids, starts))
+        batch = batch.filter(pa.array(np.repeat(more, sizes)))
+    for first in range(0, batch.num_rows, GROUP if not whole else max(1, batch.num_rows)):
+        rows = _Rows(batch.slice(first, GROUP if not whole else None))
+        if whole:
+            same = (rows.hash[1:] == rows.hash[:-1]) & (rows.right[1:] == rows.right[:-1]).all(axis=1) & (rows.left[1:] == rows.left[:-1]).all(axis=1)
+            starts = np.flatnonzero(np.r_[True, rows.hash[1:] != rows.hash[:-1]])
+            differ = np.add.reduceat(np.r_[True, ~same].astype(int), starts) > 1
+            rows = rows.take(np.flatnonzero(np.repeat(differ, np.diff(np.r_[starts, len(rows.hash)]))))
+            if not len(rows.hash):
+                continue
+        keys = rows.windows(min_words)
+        row, back = np.nonzero(keys)
+        if not len(row):
+            continue
+        keys = keys[row, back]
+        order = np.lexsort((rows.id[row], keys))
+        row, back, keys = row[order], back[order], keys[order]
+        ids = rows.id[row]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        ends = np.r_[starts[1:], len(keys)]
+        of = np.repeat(np.arange(len(starts)), ends - starts)
+        low, high = ids[starts][of], ids[ends - 1][of]
+        shared = low < high
+        if not whole:
+            two = np.unique(np.r_[starts, ends - 1])
+            yield "windows", pa.RecordBatch.from_arrays(
+                [pa.array(ids[two]), pa.array(rows.at[row[two]] - back[two]), pa.array(keys[two].view(np.int64))], ["id", "start", "hash"]
+            )
+        if not shared.any():
+            continue
+        # All windows of a suffix hold its first words, so those shared make one span.
+        row, back, other = row[shared], back[shared], np.where(ids == low, high, low)[shared]
+        order = np.argsort(row, kind="stable")
+        row, back, other = row[order], back[order], other[order]
+        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        at = rows.at[row[starts]]
+        yield "spans", pa.RecordBatch.from_arrays(
+            [
+                pa.array(rows.id[row[starts]]), pa.array(at - np.maximum.reduceat(back, starts)),
+                pa.array(at - np.minimum.reduceat(back, starts) + min_words), pa.array(np.minimum.reduceat(other, starts)),
+            ],
+            ["id", "start", "end", "other"],
+        )
+
 
 def _compare(suffixes: DataFrame, min_words: int) -> DataFrame:
     """(id, start, end, other, edge, part, hash, right, left, at) from sorted suffixes.
 
     Rows without an edge are matches. The first (edge 0) and last (1) suffix of each partition come
-    along whole, to be compared across its borders.
+    along whole, to be compared across its borders. The neighbour with the longest match to the
+    right may match less to the left than one further off: of suffixes that begin alike, all windows
+    of min_words are compared as well. Those in the middle of a partition are all there; of groups
+    that may go on in another one, or of more than GROUP, windows come along (edge 2, in hash).
     """
     order = ["hash", "right", "left", "id", "at"]
 
@@ -162,11 +282,49 @@ def _compare(suffixes: DataFrame, min_words: int) -> DataFrame:
             none = [pa.nulls(found.num_rows, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64())]
             return pa.RecordBatch.from_arrays([*found.columns, *none], ["id", "start", "end", "other", "edge", "part", "hash", "right", "left", "at"])
 
+        def solved(rows: pa.RecordBatch, whole: bool) -> Iterator[pa.RecordBatch]:
+            for kind, found in _solved(rows, min_words, whole):
+                if kind == "spans":
+                    yield spans(found)
+                    continue
+                n = found.num_rows
+                none = lambda t: pa.nulls(n, t)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        found.column("id"), found.column("start"), none(pa.int64()), none(pa.int64()), pa.array(np.full(n, 2, np.int32)),
+                        none(pa.int32()), found.column("hash"), none(pa.binary()), none(pa.binary()), none(pa.int64()),
+                    ],
+                    ["id", "start", "end", "other", "edge", "part", "hash", "right", "left", "at"],
+                )
+
+        def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+        # The suffixes that begin like the newest one, and whether they are all of them so far.
+        held, complete = [], False
         for batch in batches:
             if not batch.num_rows:
                 continue
             if last is None:
                 yield edge(batch.slice(0, 1), 0)
+            hashes = batch.column("hash").to_numpy()
+            cuts = np.flatnonzero(hashes[1:] != hashes[:-1]) + 1
+            begin = 0
+            if held and hashes[0] != held[0].column("hash")[0].as_py():
+                yield from solved(joined(held), complete)
+                held, complete = [], True
+            elif len(cuts):
+                yield from solved(joined([*held, batch.slice(0, cuts[0])]), complete)
+                held, complete, begin = [], True, cuts[0]
+            if len(cuts):
+                if begin < cuts[-1]:
+                    yield from solved(batch.slice(begin, cuts[-1] - begin), True)
+                begin = cuts[-1]
+            held.append(batch.slice(begin))
+            if sum(h.num_rows for h in held) > GROUP:
+                # Its other suffixes are compared across tasks; one stays to tell the group.
+                yield from solved(joined(held), False)
+                held, complete = [held[-1].slice(held[-1].num_rows - 1)], False
             old = carried.num_rows if carried is not None else 0
             block = pa.Table.from_batches(([carried] if old else []) + [batch]).combine_chunks()
             rows, n = _Rows(block), block.num_rows
@@ -181,6 +339,7 @@ def _compare(suffixes: DataFrame, min_words: int) -> DataFrame:
             # A document's equal suffixes in a row; of a long run its ends are enough to go on with.
             carried, last = whole.slice(max(starts[-1], n - 64)), whole.slice(n - 1)
         if last is not None:
+            yield from solved(joined(held), False)
             yield edge(last, 1)
 
     spread = suffixes.repartitionByRange(*order[:3]).sortWithinPartitions(*order)
@@ -189,7 +348,7 @@ def _compare(suffixes: DataFrame, min_words: int) -> DataFrame:
 
 def _across(compared: DataFrame, min_words: int) -> DataFrame | None:
     """Matches between the last suffix of a partition and the first of the next; two rows a partition."""
-    edges = compared.where("edge IS NOT NULL").orderBy("part", "edge").toArrow().combine_chunks()
+    edges = compared.where("edge < 2").orderBy("part", "edge").toArrow().combine_chunks()
     if edges.num_rows < 3:
         return None
     rows, edge = _Rows(edges), edges.column("edge").to_numpy()
@@ -200,65 +359,11 @@ def _across(compared: DataFrame, min_words: int) -> DataFrame | None:
     return compared.sparkSession.createDataFrame(pa.Table.from_batches([found])).selectExpr("id", "start", "end", "other")
 
 
-def _leftover(suffixes: DataFrame, min_words: int) -> DataFrame:
-    """(id, start, end, other): what neighbours alone can miss.
-
-    The neighbour with the longest match to the right may match less to the left than one further
-    off. A suffix that shares its whole left context with another document, and its whole right one
-    too, is covered by those two matches. Where three or more suffixes begin alike and one has a
-    context of its own, hashes of all windows of min_words words around their first words are
-    compared instead, which is exact and needs no pairs.
-    """
-    start = F.col("at") - (min_words - ANCHOR)
-    sides = suffixes.select(
-        "hash", "id", "at", F.xxhash64("left").alias("left"), F.xxhash64("right").alias("right"),
-        # A context that ends with its text counts as the suffix's own.
-        F.endswith("left", F.lit(b"\0\0\0\0")).alias("cut_left"), F.endswith("right", F.lit(b"\0\0\0\0")).alias("cut_right"),
-    )
-    lefts, rights = (
-        sides.groupBy("hash", side).agg(
-            F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"), F.max(f"cut_{side}").alias("cut")
-        ).withColumn("own", F.col("cut") | (F.col("low") == F.col("high")))
-        for side in ("left", "right")
-    )
-    both = lefts.drop("left").unionByName(rights.drop("right"))
-    open_ones = both.groupBy("hash").agg(
-        F.max("own").alias("own"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
-    ).where("own AND n > 4 AND low <> high")
-    whole_left = sides.join(lefts.where("NOT own").select("hash", "left", "low", "high"), ["hash", "left"]).select(
-        "id", start.alias("start"), (F.col("at") + ANCHOR).alias("end"), _not_self().alias("other")
-    )
-    bits = suffixes.sparkSession.sparkContext.broadcast(build_filter(open_ones))
-    reach = min_words - ANCHOR
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = np.flatnonzero(may_hold(bits.value, batch.column("hash").to_numpy().view(np.uint64)))
-            for at in range(0, len(hit), 2048):
-                rows = _Rows(batch.take(pa.array(hit[at : at + 2048])))
-                sides = []
-                for words in (rows.left, rows.right):
-                    h = rows.hash.view(np.uint64).copy()
-                    sides.append([h.copy()])
-                    for i in range(reach):
-                        h = (h + words[:, i]) * np.uint64(0x9E3779B97F4A7C15)
-                        h ^= h >> np.uint64(29)
-                        sides[-1].append(h.copy())
-                held = [(words != 0).sum(axis=1) for words in (rows.left, rows.right)]
-                for back in range(reach + 1):
-                    on = reach - back
-                    fits = (held[0] >= back) & (held[1] >= on)
-                    h = (sides[0][back] + np.uint64(back)) * np.uint64(0xD6E8FEB86659FD93) ^ sides[1][on]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[fits].view(np.int64)), pa.array(rows.id[fits]), pa.array(rows.at[fits] - back)], ["window", "id", "start"]
-                    )
-
-    windows = suffixes.mapInArrow(run, "window long, id long, start long")
+def _leftover(compared: DataFrame, min_words: int) -> DataFrame:
+    """(id, start, end, other): windows that documents of different tasks hold."""
+    windows = compared.where("edge = 2").select(F.col("hash").alias("window"), "id", "start")
     shared = windows.groupBy("window").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    found = windows.join(shared, "window").select(
-        "id", "start", (F.col("start") + min_words).alias("end"), _not_self().alias("other")
-    )
-    return found.unionByName(whole_left)
+    return windows.join(shared, "window").select("id", "start", (F.col("start") + min_words).alias("end"), _not_self().alias("other"))
 
 
 def _not_self() -> Column:
@@ -283,13 +388,12 @@ def repeated_passages(
         .where("low <> high").select("hash")
     )
     bits = docs.sparkSession.sparkContext.broadcast(build_filter(twice))
-    suffixes = staged(_with_context(slim, min_words, bits), "suffixes")
-    compared = staged(_compare(suffixes, min_words), "suffix-matches")
+    compared = staged(_compare(_with_context(slim, min_words, bits), min_words), "suffix-matches")
     spans = compared.where("edge IS NULL").select("id", "start", "end", "other")
     border = _across(compared, min_words)
     if border is not None:
         spans = spans.unionByName(border)
-    spans = spans.unionByName(_leftover(suffixes, min_words))
+    spans = spans.unionByName(_leftover(compared, min_words))
     spans = spans.groupBy("id", "start").agg(F.max("end").alias("end"), F.min("other").alias("other"))
     order = Window.partitionBy("id").orderBy("start")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))

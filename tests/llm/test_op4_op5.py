@@ -42,6 +42,18 @@ def test_overlapping_versions_of_a_passage(spark):
     assert _spans(suffixes.repeated_passages(docs)) == _covered(docs.collect())
 
 
+def test_more_suffixes_alike_than_a_task_holds(spark):
+    """Pieces of one passage in more documents than GROUP, in contexts of their own."""
+    rng = np.random.default_rng(5)
+    base = [f"b{x}" for x in range(90)]
+    rows = []
+    for i in range(suffixes.GROUP + 1500):
+        a, b = (int(rng.integers(0, 12)), int(rng.integers(70, 90))) if i % 3 else (0, 90)
+        rows.append((i, " ".join([f"u{i}", *base[a:b], f"v{i}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert _spans(suffixes.repeated_passages(docs)) == _covered(docs.collect())
+
+
 def test_passages_of_odd_rows(odd_docs, no_docs):
     assert suffixes.repeated_passages(odd_docs).count() == 0
     assert suffixes.repeated_passages(no_docs).count() == 0
