@@ -342,7 +342,8 @@ def _compare(suffixes: DataFrame, min_words: int) -> DataFrame:
             yield from solved(joined(held), False)
             yield edge(last, 1)
 
-    spread = suffixes.repartitionByRange(*order[:3]).sortWithinPartitions(*order)
+    # By all columns: equal suffixes of a large group of copies are spread as well.
+    spread = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     return spread.mapInArrow(run, "id long, start long, end long, other long, edge int, part int, hash long, right binary, left binary, at long")
 
 
