@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import id_remainder, text_batches
+from parcelflow.llm.common import id_remainder, staged, text_batches
 
 #: Rows whose crc32(doc_id) mod FOLDS is HELD are held out of learning.
 FOLDS, HELD = 3, 1
@@ -104,9 +104,15 @@ def learn(docs: DataFrame) -> LanguageFilter:
     languages = tuple(r[0] for r in known.select("lang").distinct().orderBy("lang").limit(65).collect())
     if len(languages) > 64:
         raise ValueError("more than 64 languages; a slot has 64 bits")
-    # Ranks are cut on both sides of the shuffle, so a frequent language does not meet in one task.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang")), "doc_id")
-    sample = known.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= SAMPLE_DOCS)
+    # Only numbers are ranked and at most 64 * SAMPLE_DOCS of them are broadcast: texts stay where they
+    # are read. Ranks are cut on both sides of the shuffle; repeated rows are one.
+    by_id = F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang"))
+    keyed = known.withColumn("_row", F.xxhash64(F.col("doc_id").cast("string"), "lang", "text"))
+    order = Window.partitionBy("lang").orderBy("_by_id", "_row")
+    ranked = keyed.select("lang", by_id.alias("_by_id"), "_row").distinct().withColumn("_rank", F.row_number().over(order))
+    chosen = ranked.where(F.col("_rank") <= SAMPLE_DOCS).select("_row")
+    # Once written, since two readers follow; spread over the tasks by the de-duplication.
+    sample = staged(keyed.join(F.broadcast(chosen), "_row", "left_semi").dropDuplicates(["_row"]).select("lang", "text"), "lang-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "text"):
@@ -118,7 +124,6 @@ def learn(docs: DataFrame) -> LanguageFilter:
                     [pa.array([name] * len(keys)), pa.array(keys.view(np.int64)), pa.array(counts)], ["lang", "gram", "docs"]
                 )
 
-    sample = sample.select("lang", "text").repartition(64)
     counted = sample.mapInArrow(run, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
     learnt = sample.groupBy("lang").count()
     kept = counted.join(learnt, "lang").where(F.col("docs") >= F.greatest(F.lit(1), F.ceil(F.col("count") * LEAST_SHARE)))
