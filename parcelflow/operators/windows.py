@@ -50,16 +50,19 @@ def sliding_sums(
     window: str,
     slide: str,
     ts: str = "event_time",
+    maxima: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Sliding windows over sums and counts, in two steps.
+    """Sliding windows over sums and counts, and over ``maxima``, in two steps.
 
     Rows are aggregated once per slide-wide pane, and only the panes are repeated for the
     windows that cover them. Needs a window that is a multiple of the slide.
     """
     width, step = duration_s(window), duration_s(slide)
+    maxima = maxima or {}
+    every = {**measures, **maxima}
     if width % step:
-        return windowed(df, keys, measures, window, slide, ts)
-    panes = windowed(df, keys, measures, slide, ts=ts)
+        return windowed(df, keys, every, window, slide, ts)
+    panes = windowed(df, keys, every, slide, ts=ts)
     starts = F.expr(
         f"sequence(window_start - INTERVAL {width - step} SECONDS, window_start, "
         f"INTERVAL {step} SECONDS)"
@@ -67,9 +70,9 @@ def sliding_sums(
     spread = panes.drop("window_end").withColumn("window_start", F.explode(starts))
     return (
         spread.groupBy("window_start", *keys)
-        .agg(*[F.sum(n).alias(n) for n in measures])
+        .agg(*[F.sum(n).alias(n) for n in measures], *[F.max(n).alias(n) for n in maxima])
         .withColumn("window_end", F.expr(f"window_start + INTERVAL {width} SECONDS"))
-        .select("window_start", "window_end", *keys, *measures)
+        .select("window_start", "window_end", *keys, *every)
     )
 
 

@@ -252,11 +252,12 @@ def lateness_profile(events: DataFrame, watermark: str) -> DataFrame:
     """Delay between occurrence and arrival, and the share beyond the watermark."""
     late = F.unix_seconds("processing_time") - F.unix_seconds("event_time")
     rows = events.withColumn("lateness_s", late).filter("lateness_s IS NOT NULL")
-    beyond = F.count_if(F.col("lateness_s") > duration_s(watermark))
-    return rows.groupBy("topic").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.percentile("lateness_s", F.lit(0.5)).alias("p50_s"),
-        F.percentile("lateness_s", F.lit(0.95)).alias("p95_s"),
+    counted = rows.groupBy("topic", "lateness_s").agg(F.count(F.lit(1)).alias("n"))
+    beyond = F.sum(F.when(F.col("lateness_s") > duration_s(watermark), F.col("n")).otherwise(0))
+    return counted.groupBy("topic").agg(
+        F.sum("n").alias("row_count"),
+        F.percentile("lateness_s", F.lit(0.5), F.col("n")).alias("p50_s"),
+        F.percentile("lateness_s", F.lit(0.95), F.col("n")).alias("p95_s"),
         F.max("lateness_s").alias("max_s"),
-        percent(beyond, F.count(F.lit(1))).alias("beyond_watermark_pct"),
+        percent(beyond, F.sum("n")).alias("beyond_watermark_pct"),
     )

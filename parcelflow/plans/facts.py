@@ -124,22 +124,37 @@ def fact_shipment(shipment: DataFrame | None, tracking: DataFrame | None) -> Dat
     return _typed(out, model.FACT_SHIPMENT)
 
 
+def _newer(name: str) -> Rule:
+    return from_newer(name, "updated_at")
+
+
+def _late_by_both(_: str) -> Rule:
+    """Late by the newest delivery and promise of either side."""
+
+    def rule(stored, incoming):
+        done, promised = (F.coalesce(incoming(c), stored(c)) for c in ("delivered_at", "sla_committed_date"))
+        return _late(done, promised)
+
+    return rule
+
+
+# The columns in which an update does more than fill a gap.
+MERGED = {
+    "is_delayed": _late_by_both,
+    "created_at": earliest,
+    "updated_at": latest,
+    "first_hub_arrived_at": earliest,
+    "last_hub_departed_at": latest,
+    "is_lost": either,
+    "is_returned": either,
+    "current_status": _newer,
+    "current_facility_id": _newer,
+}
+
+
 def shipment_rules() -> dict[str, Rule]:
     """How a window's shipment row updates the stored one."""
-    rules = {c: first_known(c) for c in model.columns_of(model.FACT_SHIPMENT)}
-    for name in ("created_at", "first_hub_arrived_at"):
-        rules[name] = earliest(name)
-    for name in ("last_hub_departed_at", "updated_at"):
-        rules[name] = latest(name)
-    for name in ("current_status", "current_facility_id"):
-        rules[name] = from_newer(name, "updated_at")
-    for name in ("is_returned", "is_lost"):
-        rules[name] = either(name)
-    rules["is_delayed"] = lambda t, s: _late(
-        F.coalesce(s("delivered_at"), t("delivered_at")),
-        F.coalesce(s("sla_committed_date"), t("sla_committed_date")),
-    )
-    return rules
+    return {c: MERGED.get(c, first_known)(c) for c in model.columns_of(model.FACT_SHIPMENT)}
 
 
 def fact_shipment_route(shipment: DataFrame | None, tracking: DataFrame | None) -> DataFrame:

@@ -103,20 +103,19 @@ def compute_kpi(
 ) -> DataFrame:
     """KPI rows of one enriched topic. Only valid rows count.
 
-    ``stamp`` is the aggregate that gives ``ingested_at``, the clock if not given.
+    ``stamp`` is the aggregate that gives ``ingested_at``, a maximum; the clock if not given.
     """
     base = enriched.filter("is_valid") if "is_valid" in enriched.columns else enriched
     if kpi.where:
         base = base.filter(kpi.where)
     measures = {name: F.expr(sql) for name, sql in kpi.measures.items()}
-    if stamp is not None:
-        measures["ingested_at"] = stamp
+    stamps = {} if stamp is None else {"ingested_at": stamp}
     if not kpi.sliding:
-        rows = windowed(base, kpi.keys, measures, window)
-    elif base.isStreaming or stamp is not None:
-        rows = windowed(base, kpi.keys, measures, window, slide)
+        rows = windowed(base, kpi.keys, measures | stamps, window)
+    elif base.isStreaming:
+        rows = windowed(base, kpi.keys, measures | stamps, window, slide)
     else:
-        rows = sliding_sums(base, kpi.keys, measures, window, slide)
+        rows = sliding_sums(base, kpi.keys, measures, window, slide, maxima=stamps)
     if stamp is None:
         rows = rows.withColumn("ingested_at", F.current_timestamp())
     return fill_unknown(rows)

@@ -210,29 +210,27 @@ def _now(as_of) -> Column:
     return F.current_timestamp() if as_of is None else as_timestamp(as_of)
 
 
-def _quantile(column: str, share: float, exact: bool) -> Column:
-    if exact:
-        return F.percentile(column, F.lit(share))
-    return F.percentile_approx(column, share, 10_000)
-
-
-def _latency_columns(stamp: str, as_of, exact: bool) -> list[Column]:
-    lag = "pipeline_latency_s"
-    return [
-        F.round(F.avg(lag), 2).alias("avg_latency_s"),
-        F.round(_quantile(lag, 0.50, exact), 2).alias("p50_latency_s"),
-        F.round(_quantile(lag, 0.95, exact), 2).alias("p95_latency_s"),
-        F.max(lag).alias("max_latency_s"),
-        F.max(stamp).alias("last_ingested_at"),
-        (F.unix_seconds(_now(as_of)) - F.unix_seconds(F.max(stamp))).alias("data_age_s"),
-    ]
+LAG = "pipeline_latency_s"
+
+
+def _latency(rows: DataFrame, keys: list[str], count: str, stamp: str, as_of) -> DataFrame:
+    """Exact figures per keys. Rows of equal latency are counted before the quantiles are taken."""
+    counted = rows.groupBy(*keys, LAG).agg(F.count(F.lit(1)).alias("n"), F.max(stamp).alias("newest"))
+    known = F.sum(F.when(F.col(LAG).isNotNull(), F.col("n")))
+    return counted.groupBy(*keys).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias(count),
+        F.round(F.try_divide(F.sum(F.col(LAG) * F.col("n")), known), 2).alias("avg_latency_s"),
+        F.round(F.percentile(LAG, F.lit(0.50), F.col("n")), 2).alias("p50_latency_s"),
+        F.round(F.percentile(LAG, F.lit(0.95), F.col("n")), 2).alias("p95_latency_s"),
+        F.max(LAG).alias("max_latency_s"),
+        F.max("newest").alias("last_ingested_at"),
+        (F.unix_seconds(_now(as_of)) - F.unix_seconds(F.max("newest"))).alias("data_age_s"),
+    )
 
 
-def latency_summary(t: Tables, as_of=None, exact: bool = True) -> DataFrame:
-    """Latency of the journey rows. ``exact=False`` trades exact quantiles for sketches."""
-    return latency_shipment(t).agg(
-        F.count(F.lit(1)).alias("sample_count"), *_latency_columns("ingested_at", as_of, exact)
-    )
+def latency_summary(t: Tables, as_of=None) -> DataFrame:
+    """Latency of the journey rows."""
+    return _latency(latency_shipment(t), [], "sample_count", "ingested_at", as_of)
 
 
 def latency_kpi(t: Tables, as_of=None) -> DataFrame:
@@ -252,15 +250,8 @@ def latency_kpi(t: Tables, as_of=None) -> DataFrame:
     )
 
 
-def latency_kpi_summary(t: Tables, as_of=None, exact: bool = True) -> DataFrame:
-    return (
-        latency_kpi(t, as_of)
-        .groupBy("kpi_name")
-        .agg(
-            F.count(F.lit(1)).alias("window_count"),
-            *_latency_columns("last_ingested_at", as_of, exact),
-        )
-    )
+def latency_kpi_summary(t: Tables, as_of=None) -> DataFrame:
+    return _latency(latency_kpi(t, as_of), ["kpi_name"], "window_count", "last_ingested_at", as_of)
 
 
 def stream_progress_summary(t: Tables) -> DataFrame:
@@ -271,10 +262,10 @@ def stream_progress_summary(t: Tables) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("batch_count"),
             F.round(F.avg(rps), 1).alias("avg_processed_rps"),
-            F.round(_quantile(rps, 0.50, True), 1).alias("p50_processed_rps"),
-            F.round(_quantile(rps, 0.95, True), 1).alias("p95_processed_rps"),
+            F.round(F.percentile(rps, F.lit(0.50)), 1).alias("p50_processed_rps"),
+            F.round(F.percentile(rps, F.lit(0.95)), 1).alias("p95_processed_rps"),
             F.round(F.avg(took), 0).alias("avg_batch_ms"),
-            F.round(_quantile(took, 0.95, True), 0).alias("p95_batch_ms"),
+            F.round(F.percentile(took, F.lit(0.95)), 0).alias("p95_batch_ms"),
             F.sum("num_input_rows").alias("total_input_rows"),
             F.sum("num_dropped_late_rows").alias("total_dropped_late_rows"),
             F.max("state_num_rows_total").alias("max_state_rows"),
