@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.catalogue.feeds import SCAN_SQL, SCHEMAS, _mapped, dimensions, scan_feed
@@ -19,10 +21,8 @@ from parcelflow.streaming.app import (
     start_partial_kpis,
     start_tracker,
 )
-from parcelflow.streaming.progress import recorded
-from parcelflow.streaming.sinks import BATCH, folder_append
-
-DRAIN_S = 900
+from parcelflow.streaming.progress import logged
+from parcelflow.streaming.sinks import BATCH, PROGRESS_TABLE, folder_append, progress_writer
 
 
 def stream_conf(partitions: int = 8) -> dict[str, str]:
@@ -31,9 +31,7 @@ def stream_conf(partitions: int = 8) -> dict[str, str]:
 
 def drain(query: StreamingQuery) -> StreamingQuery:
     """Wait until an available-now query has stopped by itself."""
-    if not query.awaitTermination(DRAIN_S):
-        query.stop()
-        raise TimeoutError(f"{query.name} did not drain in {DRAIN_S} s")
+    query.awaitTermination()
     return query
 
 
@@ -60,18 +58,25 @@ def scan_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(rows, SCAN_SQL)
 
 
-def replayed_scans(spark: SparkSession, sf_dir: str, files: int = 3) -> DataFrame:
-    """The scans written out in time order, then streamed one file per batch."""
-    path = new_scratch(spark, "replay")
+def replay(
+    spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery], steps: int = 3
+) -> Iterator[StreamingQuery]:
+    """Stream the scans in order of time; gives the query of each step once it has drained.
+
+    Equal ranges of the scans' times arrive one after the other, whatever months they span. Each
+    is one batch of the same checkpoint, however many files it has. Scans without a time come first.
+    """
+    staged, path = new_scratch(spark, "replay-steps"), new_scratch(spark, "replay")
     scans = scan_feed(spark, sf_dir)
-    step = -(-31 // files)
-    for first in range(1, 32, step):
-        day = F.day("event_time")
-        part = scans.filter(day.between(first, first + step - 1))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return (
-        spark.readStream.schema(scans.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    )
+    at = F.unix_micros("event_time")
+    low, high = scans.agg(F.min(at), F.max(at)).first()
+    step = F.floor((at - (low or 0)) / (((high or 0) - (low or 0)) // steps + 1)).cast("int")
+    scans.withColumn("step", F.coalesce(step, F.lit(0))).write.partitionBy("step").parquet(staged)
+    schema = T.StructType([*scans.schema, T.StructField("step", T.IntegerType())])
+    for number in range(steps):
+        part = spark.read.schema(schema).parquet(staged).filter(F.col("step") == number)
+        part.drop("step").write.mode("append").parquet(path)
+        yield drain(start(spark.readStream.schema(scans.schema).parquet(path)))
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,44 +103,37 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def final_flow(
-    spark: SparkSession, sf_dir: str, window: str, watermark: str, files: int = 3
+    spark: SparkSession, sf_dir: str, window: str, watermark: str, steps: int = 3
 ) -> DataFrame:
     """Facility flow in final mode: each closed window once."""
     path, checkpoint = new_scratch(spark, "final"), new_scratch(spark, "checkpoint")
     kpi = KPIS["kpi_facility_flow"]
-    parsed = replayed_scans(spark, sf_dir, files)
+    conf = settings(window, window, watermark)
+
+    def start(parsed: DataFrame) -> StreamingQuery:
+        return start_final_kpi(kpi, parsed, folder_append(path), checkpoint, conf)
+
     with session_conf(spark, stream_conf()):
-        drain(
-            start_final_kpi(
-                kpi,
-                parsed,
-                folder_append(path),
-                checkpoint,
-                settings(window, window, watermark),
-            )
-        )
+        for _ in replay(spark, sf_dir, start, steps):
+            pass
     return spark.read.parquet(f"{path}/{kpi.name}").drop(BATCH, "ingested_at")
 
 
 def partial_kpis(
-    spark: SparkSession, sf_dir: str, window: str, watermark: str, files: int = 3
-) -> tuple[StreamingQuery, str]:
-    """Run the tracking KPIs in partial mode; gives the query and the tables' folder."""
+    spark: SparkSession, sf_dir: str, window: str, watermark: str, steps: int = 3
+) -> str:
+    """Run the tracking KPIs in partial mode; gives the folder of their tables and progress."""
     path, checkpoint = new_scratch(spark, "partials"), new_scratch(spark, "checkpoint")
-    parsed = replayed_scans(spark, sf_dir, files).withColumn(
-        "failure_reason_code", F.lit(None).cast("string")
-    )
-    with session_conf(spark, stream_conf()):
-        query = drain(
-            start_partial_kpis(
-                parsed,
-                TRACKING,
-                folder_append(path),
-                checkpoint,
-                settings(window, window, watermark),
-            )
-        )
-    return query, path
+    append, conf = folder_append(path), settings(window, window, watermark)
+
+    def start(parsed: DataFrame) -> StreamingQuery:
+        scans = parsed.withColumn("failure_reason_code", F.lit(None).cast("string"))
+        return start_partial_kpis(scans, TRACKING, append, checkpoint, conf)
+
+    with session_conf(spark, stream_conf()), logged(spark, progress_writer(append, "replay")) as log:
+        for query in replay(spark, sf_dir, start, steps):
+            log.settle(query)
+    return path
 
 
 def merged_flow(spark: SparkSession, path: str) -> DataFrame:
@@ -164,5 +162,5 @@ def tracker_tables(
     }
 
 
-def progress_of(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    return recorded(query, spark)
+def progress_of(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/{PROGRESS_TABLE}")

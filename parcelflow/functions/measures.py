@@ -47,10 +47,6 @@ def movement(event_type: Column) -> Column:
     )
 
 
-def count_when(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole, 0 where the quotient is undefined."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))

@@ -18,10 +18,6 @@ def first_known(name: str) -> Rule:
     return lambda t, s: F.coalesce(t(name), s(name))
 
 
-def newest_known(name: str) -> Rule:
-    return lambda t, s: F.coalesce(s(name), t(name))
-
-
 def earliest(name: str) -> Rule:
     return lambda t, s: F.least(t(name), s(name))
 

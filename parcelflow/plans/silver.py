@@ -45,11 +45,6 @@ def cleaned(
     return enrich_cleaned(valid, dims, stamp), rejected
 
 
-def clean_events(warehouse: Warehouse, topic: str, event_type: str) -> DataFrame:
-    """Cleaned rows of one event type."""
-    return warehouse.read(CLEAN_TABLES[topic]).filter(F.col("event_type") == event_type)
-
-
 def build_silver(
     warehouse: Warehouse,
     dims: Mapping[str, DataFrame],

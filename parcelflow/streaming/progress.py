@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +50,8 @@ class ProgressLog(StreamingQueryListener):
         super().__init__()
         self.spark, self.write = spark, write
         self.rows: list[tuple] = []
-        self.lock = threading.Lock()
+        self.ended: set[str] = set()
+        self.lock = threading.Condition()
 
     def flush(self) -> int:
         """Write the rows collected so far; gives their number."""
@@ -69,9 +72,24 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
-
+        with self.lock:
+            self.ended.add(str(event.runId))
+            self.lock.notify_all()
 
-def recorded(query, spark: SparkSession) -> DataFrame:
-    """Progress rows a finished query still remembers."""
-    return spark.createDataFrame([progress_row(p) for p in query.recentProgress], PROGRESS)
+    def settle(self, query) -> None:
+        """Wait until all progress of a finished query has come in, and write it."""
+        with self.lock:
+            self.lock.wait_for(lambda: str(query.runId) in self.ended)
+        self.flush()
+
+
+@contextmanager
+def logged(spark: SparkSession, write) -> Iterator[ProgressLog]:
+    """A log that listens while the block runs."""
+    log = ProgressLog(spark, write)
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
+        log.flush()

@@ -25,6 +25,7 @@ BatchWriter = Callable[[DataFrame, int], None]
 Append = Callable[[DataFrame, str, str], None]
 
 BATCH = "source_batch"
+PROGRESS_TABLE = "streaming_query_progress"
 
 
 def batch_name(checkpoint: str, query: str, batch_id: int) -> str:
@@ -42,9 +43,17 @@ def jdbc_append(url: str, properties: Mapping[str, str]) -> Append:
 
 
 def folder_append(root: str) -> Append:
-    """One folder per table, one partition per query run and batch."""
+    """One folder per table, one partition per query run and batch.
+
+    A partition without rows states the columns, so a table that never got a row can be read.
+    """
+    stated = set()
 
     def append(df: DataFrame, table: str, batch: str) -> None:
+        if table not in stated:
+            none = df.sparkSession.createDataFrame([], df.schema)
+            none.write.mode("overwrite").parquet(f"{root}/{table}/{BATCH}=none")
+            stated.add(table)
         (
             df.withColumn(BATCH, F.lit(batch))
             .write.partitionBy(BATCH)
@@ -134,6 +143,6 @@ def progress_writer(append: Append, run: str) -> Callable[[DataFrame], None]:
 
     def write(rows: DataFrame) -> None:
         stamped = rows.withColumn("ingested_at", F.current_timestamp())
-        append(stamped, "streaming_query_progress", f"{run}-{next(blocks)}")
+        append(stamped, PROGRESS_TABLE, f"{run}-{next(blocks)}")
 
     return write

@@ -13,8 +13,8 @@ from parcelflow.plans.kpis import Kpi, compute_kpi, merged_kpi
 from parcelflow.session import new_scratch
 from parcelflow.settings import StreamSettings
 from parcelflow.streaming.app import start_partial_kpis
-from parcelflow.streaming.progress import recorded
-from parcelflow.streaming.sinks import folder_append
+from parcelflow.streaming.progress import logged
+from parcelflow.streaming.sinks import PROGRESS_TABLE, folder_append, progress_writer
 
 # The settings under comparison, one axis at a time around the baseline.
 WATERMARKS = ("15 seconds", "30 seconds", "60 seconds", "120 seconds")
@@ -62,13 +62,14 @@ def sweep(
             available_now=True,
         )
         path, checkpoint = new_scratch(spark, "sweep"), new_scratch(spark, "checkpoint")
-        query = finish(
-            start_partial_kpis(source(), kpi.topic, folder_append(path), checkpoint, settings)
-        )
+        append = folder_append(path)
+        with logged(spark, progress_writer(append, "sweep")) as log:
+            query = finish(start_partial_kpis(source(), kpi.topic, append, checkpoint, settings))
+            log.settle(query)
         seen = merged_kpi(kpi, spark.read.parquet(f"{path}/{kpi.name}"))
         truth = compute_kpi(kpi, complete, run.window, run.window)
         gaps = deviation(seen, truth, kpi.row_key, list(kpi.measures))
-        progress = recorded(query, spark).agg(
+        progress = spark.read.parquet(f"{path}/{PROGRESS_TABLE}").filter(F.col("query_name") == query.name).agg(
             F.count(F.lit(1)).alias("batches"),
             F.sum("num_input_rows").alias("input_rows"),
             F.sum("num_dropped_late_rows").alias("dropped_late_rows"),
