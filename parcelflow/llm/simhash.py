@@ -228,7 +228,7 @@ def _links(keyed: DataFrame, radius: int) -> DataFrame:
 
 
 def near_groups(prints: DataFrame, s: Settings) -> DataFrame:
-    """(fp, component): per distinct fingerprint the smallest id that its links reach."""
+    """(fp, root, component): per distinct fingerprint its group's root, and the smallest id that its links reach."""
     distinct = prints.groupBy("fp").agg(F.min("id").alias("first"))
     masks = key_masks(s, prints.select("fp").distinct().count())
     roots = components(_links(_keyed(distinct.select("fp"), masks), s.radius))
@@ -239,7 +239,7 @@ def near_groups(prints: DataFrame, s: Settings) -> DataFrame:
         "near-roots",
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    return rooted.join(smallest, "root").select("fp", "component")
+    return rooted.join(smallest, "root").select("fp", "root", "component")
 
 
 def near_duplicates(
@@ -263,10 +263,10 @@ def one_per_group(
     Of rows that share id and text one stays; rows without an id stay only where no row of their
     group has one, then one of them.
     """
-    found = near_duplicates(docs, s, id_col, text_col)
-    pick = found.groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("odd")).agg(
-        F.min(F.when(F.col("id").eqNullSafe(F.col("component")), F.struct("text_hash", "id"))).alias("kept")
-    )
+    prints = staged(fingerprints(docs, s, id_col, text_col), "fingerprints")
+    found = prints.join(near_groups(prints, s), "fp").select("id", "text_hash", "root")
+    # By the root: groups without a link can have the same smallest id.
+    pick = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("odd"), "id", "text_hash")).alias("kept"))
     kept = pick.select(F.col("kept.id").alias("_kept_id"), F.col("kept.text_hash").alias("_kept_hash")).distinct()
     hashed = docs.withColumn("_near_hash", F.xxhash64(text_col))
     same = hashed[id_col].eqNullSafe(kept["_kept_id"]) & (hashed["_near_hash"] == kept["_kept_hash"])

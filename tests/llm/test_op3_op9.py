@@ -116,3 +116,11 @@ def test_one_row_of_each_near_group_stays(spark, odd_docs, no_docs):
     odd = simhash.one_per_group(odd_docs)
     assert odd.columns == odd_docs.columns and 0 < odd.count() < odd_docs.count()
     assert simhash.one_per_group(no_docs).count() == 0
+
+
+def test_groups_that_share_their_smallest_id_keep_a_row_each(spark):
+    rng = np.random.default_rng(9)
+    a, b, c = (" ".join(f"w{x}" for x in rng.integers(0, 5000, 100)) for _ in range(3))
+    rows = [(5, a), (9, a + " more"), (5, b), (None, c), (None, c)]
+    kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("5", a), ("5", b), ("None", c)])
