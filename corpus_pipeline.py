@@ -20,7 +20,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group linked by a similarity of about 0.8 of five-word shingles."""
+    """One row of each group linked by a Jaccard similarity of 0.8 or more of five-word shingle sets."""
     return simhash.one_per_group(docs, simhash.JACCARD_08)
 
 

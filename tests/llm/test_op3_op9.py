@@ -124,3 +124,35 @@ def test_groups_that_share_their_smallest_id_keep_a_row_each(spark):
     rows = [(5, a), (9, a + " more"), (5, b), (None, c), (None, c)]
     kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("5", a), ("5", b), ("None", c)])
+
+
+def _jaccard_groups(texts):
+    """Root per text by exact comparison of all pairs of five-word shingle sets."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * len(sets[i] | sets[j]):
+                old, new = root[i], root[j]
+                root = [new if r == old else r for r in root]
+    return root
+
+
+def test_near_groups_equal_exact_jaccard(spark, monkeypatch):
+    """Pairs with similarities from 0.7 to 0.9, and one chain of versions in more chunks than one."""
+    rng = np.random.default_rng(10)
+    texts = []
+    for pair in range(240):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 304)]
+        # A block replaced at the end takes as many of the 300 shingles.
+        gone = round(300 * (1 - (j := 0.7 + pair / 1200)) / (1 + j))
+        texts += [" ".join(words), " ".join([*words[:-gone], *[f"v{x}" for x in rng.integers(0, 10**6, gone)]])]
+    words = [f"c{x}" for x in range(1000)]
+    texts += [" ".join(words[12 * i : 12 * i + 204]) for i in range(60)]
+    texts += [" ".join(words[: 150 + 40 * (i % 4)] + [f"d{i % 8}x{k}" for k in range(60)]) for i in range(40)]
+    roots = _jaccard_groups(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for chunk in (2048, 25):
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        assert sorted(r.doc_id for r in simhash.one_per_group(df).collect()) == sorted({roots.index(r) for r in roots})
