@@ -3,7 +3,8 @@
 Windows of template words are hashed and joined. A shared window counts if its slots are filled
 consistently: the values of one side map one to one to those of the other, which is so exactly if
 both have the same pattern of equal slots. So a question asked anew with other names and numbers
-is found as well as a verbatim one.
+is found as well as a verbatim one. Beside them stand the windows' words themselves in small letters:
+they find what has too few literal words for a template, and copies in other case.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from parcelflow.llm.hashfilter import build_filter, may_hold
 
 #: Template words in a window. Items with fewer words are one window of their own length.
 WINDOW = 10
-#: Words of a window that must not be placeholders (of a shorter item: half of its words).
+#: Words of a window that must not be placeholders; with fewer its words must be the same.
 LITERALS = 5
 
 NUMBER, NAME, UNIT, QUANTITY = "<number>", "<name>", "<unit>", "<quantity>"
@@ -34,6 +35,7 @@ UNITS = frozenset(
 )
 _NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*%?")
 _QUANTITY = re.compile(r"([+-]?[$€£]?\d+(?:[.,:/]\d+)*)([a-z]{1,8})")
+_END = re.compile(r"[.!?:]\W*$")
 _EDGES = re.compile(r"^[^\w$€£+-]+|[^\w%]+$")
 
 
@@ -45,6 +47,7 @@ class Lexicon(dict):
 
     def __init__(self):
         self.hashes, self.kinds, self.values = np.zeros(1024, np.uint64), np.zeros(1024, np.int8), []
+        self.folded, self.ends = np.zeros(1024, np.uint64), np.zeros(1024, bool)
 
     def __missing__(self, raw: str) -> int:
         word = _EDGES.sub("", raw)
@@ -63,35 +66,42 @@ class Lexicon(dict):
             kind = low
         self[raw] = number = len(self.values)
         if number == len(self.hashes):
-            self.hashes, self.kinds = np.resize(self.hashes, 2 * number), np.resize(self.kinds, 2 * number)
+            for name in ("hashes", "kinds", "folded", "ends"):
+                setattr(self, name, np.resize(getattr(self, name), 2 * number))
         self.hashes[number] = _hash(low if kind == UNIT else kind or "")
         self.kinds[number] = -1 if kind is None else self.KINDS.index(kind) + 1 if kind in self.KINDS else 0
+        self.folded[number], self.ends[number] = _hash(low), bool(_END.search(raw))
         self.values.append(low)
         return number
 
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the template's words, their kinds (0: literal), and their numbers for `value`.
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the template's words, their kinds (0: literal), their numbers for `value`, first words.
 
-        A word with a capital first letter and small others is a name; a unit after a number is a
-        unit, elsewhere a literal; what holds no letter or digit is left out.
+        A word with a capital first letter and small others is a name, and where it begins a sentence
+        (then marked as first) perhaps none; a unit after a number is a unit, elsewhere a literal;
+        what holds no letter or digit is left out.
         """
         if len(self) > self.LIMIT:
             self.clear()
             self.__init__()
         raw = text.split()
         numbers = np.fromiter(map(self.__getitem__, raw), np.int64, len(raw))
-        numbers = numbers[self.kinds[numbers] >= 0]
+        begins = np.r_[True, self.ends[numbers[:-1]]][: len(numbers)]
+        held = self.kinds[numbers] >= 0
+        # A sentence may begin with marks.
+        begins[1:] |= begins[:-1] & ~held[:-1]
+        numbers, begins = numbers[held], begins[held]
         hashes, kinds = self.hashes[numbers], self.kinds[numbers]
         unit = kinds == 4
         if unit.any():
             after = np.r_[False, kinds[:-1] == 1]
             hashes[unit & after] = _hash(UNIT)
             kinds[unit & ~after] = 0
-        return hashes, kinds, numbers
+        return hashes, kinds, numbers, begins & (kinds == 3)
 
     def template(self, text: str) -> list[str]:
         """The template itself, for reading."""
-        _, kinds, numbers = self.read(text)
+        _, kinds, numbers, _ = self.read(text)
         return [self.KINDS[k - 1] if k else self.values[n] for k, n in zip(kinds, numbers, strict=True)]
 
 
@@ -99,18 +109,40 @@ def _hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 5)
 
 
-def _windows(hashes: np.ndarray, kinds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows with enough literal words."""
+def _rolled(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
-    if n <= 0 or not size:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     rolled = np.full(n, size, dtype=np.uint64)
     for i in range(size):
         rolled = (rolled + hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
         rolled ^= rolled >> np.uint64(32)
-    literal = np.cumsum(np.r_[0, kinds == 0])
-    at = np.flatnonzero(literal[size:] - literal[:n] >= min(LITERALS, -(-size // 2)))
-    return at, rolled[at]
+    return rolled
+
+
+def _inside(flags: np.ndarray, size: int) -> np.ndarray:
+    """How many of the flags each window holds."""
+    upto = np.cumsum(np.r_[0, flags])
+    return upto[size:] - upto[:-size]
+
+
+def _windows(
+    hashes: np.ndarray, kinds: np.ndarray, folded: np.ndarray, first: np.ndarray, size: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """(starts, hashes, kinds, template) of three readings of the windows.
+
+    Templates with enough literal words; the same with the first words of sentences as literals;
+    and the words themselves. A reading that is the same as an earlier one is left out.
+    """
+    if len(hashes) < size or not size:
+        return
+    at = np.flatnonzero(_inside(kinds == 0, size) >= LITERALS)
+    yield at, _rolled(hashes, size)[at], kinds, True
+    literal = np.where(first, 0, kinds)
+    if first.any():
+        at = np.flatnonzero((_inside(literal == 0, size) >= LITERALS) & (_inside(first, size) > 0))
+        yield at, _rolled(np.where(first, folded, hashes), size)[at], literal, True
+    slots = _inside(literal != 0, size)
+    at = np.flatnonzero((slots > 0) | (size - slots < LITERALS))
+    yield at, _rolled(folded, size)[at], np.zeros_like(kinds), False
 
 
 def _pattern(values: list[str]) -> str:
@@ -119,11 +151,11 @@ def _pattern(values: list[str]) -> str:
     return ".".join(str(seen.setdefault(v, len(seen))) for v in values)
 
 
-_ROW = "id {id}, size int, at int, hash long, pattern string, filled long"
+_ROW = "id {id}, size int, at int, hash long, pattern string, filled long, template boolean"
 
 
 def _benchmark_windows(items: DataFrame) -> DataFrame:
-    """Windows of the items: (id, size, at, hash, pattern, filled); filled hashes the slots' values."""
+    """Windows of the items: (id, size, at, hash, pattern, filled, template); filled hashes the slots' values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
@@ -137,25 +169,26 @@ def _rows(
     lexicon: Lexicon, ids: pa.Array, texts: list[bytes | None], wanted: tuple[list[int], np.ndarray] | None
 ) -> Iterator[pa.RecordBatch]:
     """Rows for the windows of texts: an item's own size, or for documents those the filter lets through."""
-    source, columns = [], ([], [], [], [], [])
+    source, columns = [], ([], [], [], [], [], [])
     for number, raw in enumerate(texts):
-        hashes, kinds, numbers = lexicon.read((raw or b"").decode("utf-8", "replace"))
+        hashes, kinds, numbers, first = lexicon.read((raw or b"").decode("utf-8", "replace"))
+        folded = lexicon.folded[numbers]
         for size in [min(WINDOW, len(hashes))] if wanted is None else wanted[0]:
-            starts, found = _windows(hashes, kinds, size)
-            if wanted is not None:
-                hit = may_hold(wanted[1], found)
-                starts, found = starts[hit], found[hit]
-            for at, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True):
-                slots = [lexicon.values[n] for n, k in zip(numbers[at : at + size], kinds[at : at + size], strict=True) if k]
-                filled = xxhash.xxh64_intdigest("\0".join(slots).encode("utf-8", "surrogatepass")) - (1 << 63)
-                source.append(number)
-                for column, value in zip(columns, (size, at, h, _pattern(slots), filled), strict=True):
-                    column.append(value)
+            for starts, found, read, template in _windows(hashes, kinds, folded, first, size):
+                if wanted is not None:
+                    hit = may_hold(wanted[1], found)
+                    starts, found = starts[hit], found[hit]
+                for at, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True):
+                    slots = [lexicon.values[n] for n, k in zip(numbers[at : at + size], read[at : at + size], strict=True) if k]
+                    filled = xxhash.xxh64_intdigest("\0".join(slots).encode("utf-8", "surrogatepass")) - (1 << 63)
+                    source.append(number)
+                    for column, value in zip(columns, (size, at, h, _pattern(slots), filled, template), strict=True):
+                        column.append(value)
     if source:
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64())
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [ids.take(pa.array(source)), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
-            ["id", "size", "at", "hash", "pattern", "filled"],
+            ["id", "size", "at", "hash", "pattern", "filled", "template"],
         )
 
 

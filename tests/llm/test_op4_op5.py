@@ -92,3 +92,19 @@ def test_leaks_of_odd_rows(spark, odd_docs, sf_dir):
     bench = table(spark, sf_dir, "benchmark")
     assert decontaminate.contaminated(odd_docs, bench).count() == 0
     assert decontaminate.decontaminated(odd_docs, bench).count() == odd_docs.count()
+
+
+def test_items_of_few_literals_and_other_case(spark):
+    items = [
+        (1, "What is 345 + 982 ?"), (2, "Hello world"),
+        (3, "The History Of King Arthur And Queen Guinevere From The Early Middle Ages"),
+        (4, "Every Monday morning Anna gives Tom exactly 4 of her own Apples"),
+    ]
+    docs = [
+        (1, "so What is 345 + 982 ? they asked"), (2, "what is 346 + 982"), (3, "The world is large and the world is old"),
+        (4, "we say hello world twice"), (5, items[2][1].lower()), (6, items[3][1].lower()), (7, "The Life Of Prince Albert And Queen Victoria From The Late Modern Times"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = sorted((r.doc_id, r.item_id, r.kind) for r in decontaminate.contaminated(frame, bench).collect())
+    assert rows == [(1, 1, "exact"), (4, 2, "exact"), (5, 3, "exact"), (6, 4, "exact")]
