@@ -200,18 +200,18 @@ def contaminated(
 
     kind is `exact` if some shared window has the very values of the item, else `template`: then
     the slots of each shared window are filled consistently. windows counts the item's windows
-    found; start_word and words tell where the found part lies, in template words. Items with the
-    same windows and slot patterns stand behind the one with the smallest id; a document with a
-    passage several times has one row, for the first. Null and blank texts hold nothing and are in
+    found; start_word and words tell where the found part lies, in template words. A document with
+    a passage several times has one row, for the first. Null and blank texts hold nothing and are in
     nothing. Rows with the same id count as one document. Empty tables give no rows.
     """
     spark = docs.sparkSession
     items = staged(
         _benchmark_windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))), "bench-windows"
     )
-    # One item for each whole set of windows; equal ones are re-worded copies of each other.
-    whole = items.groupBy("id").agg(F.hash(F.sort_array(F.collect_set(F.struct("at", "hash", "pattern")))).alias("set"), F.count("*").alias("n"))
-    first = whole.groupBy("set", "n").agg(F.min("id").alias("id"))
+    # Items with the very same templates are joined as one, and each of them is told from it.
+    templates = items.where("template")
+    whole = templates.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("at", "hash", "pattern"))).alias("set"))
+    same = staged(whole.groupBy("set").agg(F.min("id").alias("lead"), F.collect_list(F.struct("id")).alias("all")).drop("set"), "bench-sets")
     sizes = [r[0] for r in items.select("size").distinct().collect()]
     bits = spark.sparkContext.broadcast(build_filter(items))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -223,19 +223,32 @@ def contaminated(
             yield from _rows(lexicon, batch.column("id"), texts, (sizes, bits.value))
 
     found = slim.mapInArrow(run, _ROW.format(id=kind))
-    kept = items.join(first.select("id"), "id", "left_semi").select(
-        F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "size", "pattern",
-        F.col("filled").alias("item_filled"),
+    found = staged(found.drop("template"), "doc-windows")
+    lead = templates.join(same, F.col("id").eqNullSafe(F.col("lead"))).select(
+        "lead", F.col("at").alias("item_at"), "hash", "size", "pattern"
+    )
+    parts = [F.collect_set("item_at").alias("item_ats"), F.min("at").alias("start"), F.max("size").alias("size")]
+    alike = (
+        found.join(lead, ["hash", "size", "pattern"]).groupBy("id", "lead").agg(*parts).withColumnRenamed("lead", "_lead")
+        .join(same, F.col("_lead").eqNullSafe(F.col("lead"))).withColumn("item", F.explode("all"))
+        .select("id", F.col("item.id").alias("item_id"), "item_ats", "start", "size", F.lit(0).alias("exact"))
+    )
+    own = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "size", "pattern", "filled")
+    equal = (
+        found.join(own, ["hash", "size", "pattern", "filled"]).groupBy("id", "item_id").agg(*parts)
+        .select("id", "item_id", "item_ats", "start", "size", F.lit(1).alias("exact"))
     )
-    exact = F.max((F.col("filled") == F.col("item_filled")).cast("int"))
     return (
-        found.join(kept, ["hash", "size", "pattern"])
+        alike.unionByName(equal)
         .groupBy(F.col("id").alias("doc_id"), "item_id")
         .agg(
-            F.when(exact == 1, F.lit("exact")).otherwise(F.lit("template")).alias("kind"),
-            F.countDistinct("item_at").cast("long").alias("windows"),
-            F.min("at").alias("start_word"),
-            (F.max("item_at") - F.min("item_at") + F.max("size")).alias("words"),
+            F.max("exact").alias("exact"), F.array_distinct(F.flatten(F.collect_list("item_ats"))).alias("ats"),
+            F.min("start").alias("start_word"), F.max("size").alias("size"),
+        )
+        .select(
+            "doc_id", "item_id", F.when(F.col("exact") == 1, F.lit("exact")).otherwise(F.lit("template")).alias("kind"),
+            F.size("ats").cast("long").alias("windows"), "start_word",
+            (F.array_max("ats") - F.array_min("ats") + F.col("size")).alias("words"),
         )
     )
 

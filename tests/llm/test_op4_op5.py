@@ -108,3 +108,14 @@ def test_items_of_few_literals_and_other_case(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     rows = sorted((r.doc_id, r.item_id, r.kind) for r in decontaminate.contaminated(frame, bench).collect())
     assert rows == [(1, 1, "exact"), (4, 2, "exact"), (5, 3, "exact"), (6, 4, "exact")]
+
+
+def test_each_reparameterised_item_has_its_own_kind(spark):
+    text = "a farmer sells {} apples to {} and then walks all the way back home with {} empty baskets"
+    items = [(1, text.format(3, "Anna", 4)), (2, text.format(8, "Tom", 9)), (3, text.format(8, "Tom", 9)), (4, text.format(8, "Tom", 8))]
+    docs = spark.createDataFrame([(1, "well " + items[1][1]), (2, text.format(5, "Ben", 6))], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): r.kind for r in decontaminate.contaminated(docs, bench).collect()}
+    assert {k: v for k, v in rows.items() if k[1] != 4} == {
+        (1, 1): "template", (1, 2): "exact", (1, 3): "exact", (2, 1): "template", (2, 2): "template", (2, 3): "template",
+    }
