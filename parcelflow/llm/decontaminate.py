@@ -192,18 +192,11 @@ def _rows(
         )
 
 
-def contaminated(
+def _matches(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, item_id, kind, windows, start_word, words): a row per document and item it holds.
-
-    kind is `exact` if some shared window has the very values of the item, else `template`: then
-    the slots of each shared window are filled consistently. windows counts the item's windows
-    found; start_word and words tell where the found part lies, in template words. A document with
-    a passage several times has one row, for the first. Null and blank texts hold nothing and are in
-    nothing. Rows with the same id count as one document. Empty tables give no rows.
-    """
+    """(id, text_hash, item_id, item_ats, start, size, exact): what rows with this id and text share with an item."""
     spark = docs.sparkSession
     items = staged(
         _benchmark_windows(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))), "bench-windows"
@@ -214,8 +207,11 @@ def contaminated(
     same = staged(whole.groupBy("set").agg(F.min("id").alias("lead"), F.collect_list(F.struct("id")).alias("all")).drop("set"), "bench-sets")
     sizes = [r[0] for r in items.select("size").distinct().collect()]
     bits = spark.sparkContext.broadcast(build_filter(items))
-    kind = docs.schema[id_col].dataType.simpleString()
-    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    kind = f"struct<id:{docs.schema[id_col].dataType.simpleString()},text_hash:bigint>"
+    slim = docs.select(
+        F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash")).alias("id"),
+        F.col(f"`{text_col}`").alias("text"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
@@ -223,23 +219,35 @@ def contaminated(
             yield from _rows(lexicon, batch.column("id"), texts, (sizes, bits.value))
 
     found = slim.mapInArrow(run, _ROW.format(id=kind))
-    found = staged(found.drop("template"), "doc-windows")
+    found = staged(found.select("id.id", "id.text_hash", "size", "at", "hash", "pattern", "filled"), "doc-windows")
     lead = templates.join(same, F.col("id").eqNullSafe(F.col("lead"))).select(
         "lead", F.col("at").alias("item_at"), "hash", "size", "pattern"
     )
     parts = [F.collect_set("item_at").alias("item_ats"), F.min("at").alias("start"), F.max("size").alias("size")]
     alike = (
-        found.join(lead, ["hash", "size", "pattern"]).groupBy("id", "lead").agg(*parts).withColumnRenamed("lead", "_lead")
+        found.join(lead, ["hash", "size", "pattern"]).groupBy("id", "text_hash", "lead").agg(*parts).withColumnRenamed("lead", "_lead")
         .join(same, F.col("_lead").eqNullSafe(F.col("lead"))).withColumn("item", F.explode("all"))
-        .select("id", F.col("item.id").alias("item_id"), "item_ats", "start", "size", F.lit(0).alias("exact"))
+        .select("id", "text_hash", F.col("item.id").alias("item_id"), "item_ats", "start", "size", F.lit(0).alias("exact"))
     )
     own = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "size", "pattern", "filled")
     equal = (
-        found.join(own, ["hash", "size", "pattern", "filled"]).groupBy("id", "item_id").agg(*parts)
-        .select("id", "item_id", "item_ats", "start", "size", F.lit(1).alias("exact"))
+        found.join(own, ["hash", "size", "pattern", "filled"]).groupBy("id", "text_hash", "item_id").agg(*parts)
+        .select("id", "text_hash", "item_id", "item_ats", "start", "size", F.lit(1).alias("exact"))
     )
+    return alike.unionByName(equal)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """(doc_id, item_id, kind, windows, start_word, words): a row per document and item it holds.
+
+    kind is `exact` if some shared window has the very values of the item, else `template`: then
+    the slots of each shared window are filled consistently. windows counts the item's windows
+    found; start_word and words tell where the found part lies, in template words. A document with
+    a passage several times has one row, for the first. Null and blank texts hold nothing and are in
+    nothing. Rows with the same id count as one document. Empty tables give no rows.
+    """
     return (
-        alike.unionByName(equal)
+        _matches(docs, benchmark, id_col, **options)
         .groupBy(F.col("id").alias("doc_id"), "item_id")
         .agg(
             F.max("exact").alias("exact"), F.array_distinct(F.flatten(F.collect_list("item_ats"))).alias("ats"),
@@ -253,8 +261,11 @@ def contaminated(
     )
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """Rows of docs that hold no benchmark passage, all columns. Rows without an id are checked as one document."""
-    caught = staged(contaminated(docs, benchmark, id_col=id_col, **options).select("doc_id").distinct(), "leaks")
-    caught = caught.withColumnRenamed("doc_id", "_leaking")
-    return docs.join(caught, F.col(f"`{id_col}`").eqNullSafe(F.col("_leaking")), "left_anti")
+def decontaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """Rows of docs that hold no benchmark passage, all columns. Rows that share an id, or have none, are told apart by their text."""
+    found = _matches(docs, benchmark, id_col, text_col, **options)
+    caught = staged(found.select(F.col("id").alias("_leaking"), F.col("text_hash").alias("_leaking_hash")).distinct(), "leaks")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_leaking")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_leaking_hash"))
+    return docs.join(caught, same, "left_anti")

@@ -119,3 +119,13 @@ def test_each_reparameterised_item_has_its_own_kind(spark):
     assert {k: v for k, v in rows.items() if k[1] != 4} == {
         (1, 1): "template", (1, 2): "exact", (1, 3): "exact", (2, 1): "template", (2, 2): "template", (2, 3): "template",
     }
+
+
+def test_clean_rows_that_share_an_id_with_a_leak_stay(spark):
+    item = "the seven small ships sailed far across the cold northern sea before winter came"
+    rows = [(None, item), (None, "a clean text"), (None, None), (5, "well " + item), (5, "another clean text"), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontaminate.decontaminated(docs, bench).collect()
+    assert sorted(map(str, left)) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in rows if item not in (t or ""))
+    assert {r.doc_id for r in decontaminate.contaminated(docs, bench).collect()} == {None, 5}
