@@ -198,11 +198,12 @@ class _Rows:
         return out
 
 
-def _solved(batch: pa.RecordBatch, min_words: int, whole: bool) -> Iterator[tuple[str, pa.RecordBatch]]:
+def _solved(batch: pa.RecordBatch, min_words: int, whole: bool, cut: bool) -> Iterator[tuple[str, pa.RecordBatch]]:
     """Spans whose windows another document of the batch holds; the batch is sorted by hash.
 
     whole: all suffixes that begin like those of the batch are in it. If not, two holders of each
-    window, or its only one, are given as windows too, to be compared with other tasks'.
+    window, or all places of its only one, are given as windows too, to be compared with other tasks'.
+    cut: the batch is joined from several, so neighbours have not settled equal contexts.
     """
     if whole:
         hashes, ids = batch.column("hash").to_numpy(), batch.column("id").to_numpy()
@@ -213,7 +214,7 @@ def _solved(batch: pa.RecordBatch, min_words: int, whole: bool) -> Iterator[tupl
         batch = batch.filter(pa.array(np.repeat(more, sizes)))
     for first in range(0, batch.num_rows, GROUP if not whole else max(1, batch.num_rows)):
         rows = _Rows(batch.slice(first, GROUP if not whole else None))
-        if whole:
+        if whole and not cut:
             same = (rows.hash[1:] == rows.hash[:-1]) & (rows.right[1:] == rows.right[:-1]).all(axis=1) & (rows.left[1:] == rows.left[:-1]).all(axis=1)
             starts = np.flatnonzero(np.r_[True, rows.hash[1:] != rows.hash[:-1]])
             differ = np.add.reduceat(np.r_[True, ~same].astype(int), starts) > 1
@@ -234,7 +235,10 @@ def _solved(batch: pa.RecordBatch, min_words: int, whole: bool) -> Iterator[tupl
         low, high = ids[starts][of], ids[ends - 1][of]
         shared = low < high
         if not whole:
-            two = np.unique(np.r_[starts, ends - 1])
+            # Of a window that several documents hold here two tell the others; of one document's, each may be repeated elsewhere.
+            ends_only = np.zeros(len(keys), bool)
+            ends_only[starts] = ends_only[ends - 1] = True
+            two = np.flatnonzero(~shared | ends_only)
             yield "windows", pa.RecordBatch.from_arrays(
                 [pa.array(ids[two]), pa.array(rows.at[row[two]] - back[two]), pa.array(keys[two].view(np.int64))], ["id", "start", "hash"]
             )
@@ -282,8 +286,8 @@ def _compare(suffixes: DataFrame, min_words: int) -> DataFrame:
             none = [pa.nulls(found.num_rows, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64())]
             return pa.RecordBatch.from_arrays([*found.columns, *none], ["id", "start", "end", "other", "edge", "part", "hash", "right", "left", "at"])
 
-        def solved(rows: pa.RecordBatch, whole: bool) -> Iterator[pa.RecordBatch]:
-            for kind, found in _solved(rows, min_words, whole):
+        def solved(parts: list[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+            for kind, found in _solved(joined(parts), min_words, whole, len(parts) > 1):
                 if kind == "spans":
                     yield spans(found)
                     continue
@@ -311,19 +315,19 @@ def _compare(suffixes: DataFrame, min_words: int) -> DataFrame:
             cuts = np.flatnonzero(hashes[1:] != hashes[:-1]) + 1
             begin = 0
             if held and hashes[0] != held[0].column("hash")[0].as_py():
-                yield from solved(joined(held), complete)
+                yield from solved(held, complete)
                 held, complete = [], True
             elif len(cuts):
-                yield from solved(joined([*held, batch.slice(0, cuts[0])]), complete)
+                yield from solved([*held, batch.slice(0, cuts[0])], complete)
                 held, complete, begin = [], True, cuts[0]
             if len(cuts):
                 if begin < cuts[-1]:
-                    yield from solved(batch.slice(begin, cuts[-1] - begin), True)
+                    yield from solved([batch.slice(begin, cuts[-1] - begin)], True)
                 begin = cuts[-1]
             held.append(batch.slice(begin))
             if sum(h.num_rows for h in held) > GROUP:
                 # Its other suffixes are compared across tasks; one stays to tell the group.
-                yield from solved(joined(held), False)
+                yield from solved(held, False)
                 held, complete = [held[-1].slice(held[-1].num_rows - 1)], False
             old = carried.num_rows if carried is not None else 0
             block = pa.Table.from_batches(([carried] if old else []) + [batch]).combine_chunks()
@@ -339,7 +343,7 @@ def _compare(suffixes: DataFrame, min_words: int) -> DataFrame:
             # A document's equal suffixes in a row; of a long run its ends are enough to go on with.
             carried, last = whole.slice(max(starts[-1], n - 64)), whole.slice(n - 1)
         if last is not None:
-            yield from solved(joined(held), False)
+            yield from solved(held, False)
             yield edge(last, 1)
 
     # By all columns: equal suffixes of a large group of copies are spread as well.

@@ -129,3 +129,16 @@ def test_clean_rows_that_share_an_id_with_a_leak_stay(spark):
     left = decontaminate.decontaminated(docs, bench).collect()
     assert sorted(map(str, left)) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in rows if item not in (t or ""))
     assert {r.doc_id for r in decontaminate.contaminated(docs, bench).collect()} == {None, 5}
+
+
+def test_passage_repeated_many_times_in_two_documents(spark):
+    """Runs of one document's equal suffixes longer than a batch and than GROUP."""
+    rng = np.random.default_rng(12)
+    passage = " ".join(f"p{x}" for x in rng.integers(0, 10**6, 60))
+    rows = [(i, " ".join([f"u{i}_{k}" for k in range(30)] + [passage] * (5100 + 300 * i) + [f"v{i}_{k}" for k in range(30)])) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.start_word, r.n_words) for r in suffixes.repeated_passages(docs).collect())
+    assert found == [(0, 30, 5100 * 60), (1, 30, 5400 * 60)]
+    rows = [(i, " ".join([f"u{i}"] + [passage] * n)) for i, n in ((0, 1900), (1, 1500), (2, 100))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _spans(suffixes.repeated_passages(docs)) == _covered(docs.collect())
