@@ -85,8 +85,8 @@ def top_k(
 
     Ties go to the smaller id. Rows with a null id, a null vector or a null or non-finite component
     take no part; vectors of other lengths than the query's are not scored. A row with the query's
-    own id is no candidate. A repeated row is a candidate each time, but one query only. Fewer
-    candidates than k give all. An empty table gives none.
+    own id is no candidate. A repeated row is a candidate each time, but one query only: the
+    smallest vector of its id. Fewer candidates than k give all. An empty table gives none.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").alias("vector"))
@@ -106,7 +106,8 @@ def top_k(
     if not spans:
         return spark.createDataFrame([], empty)
     norms = {r["n"]: r["norm"] for r in spans}
-    asked = rows.where(F.col("id") % every == 0).dropDuplicates(["id"])
+    finite = F.forall("vector", lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    asked = rows.where((F.col("id") % every == 0) & finite).groupBy("id").agg(F.min("vector").alias("vector"))
     width = max(1, max(norms))
     blocks = max(1, math.ceil(asked.count() / max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * width)))))
     asked = staged(asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))), "topk-queries")

@@ -156,3 +156,14 @@ def test_near_groups_equal_exact_jaccard(spark, monkeypatch):
     for chunk in (2048, 25):
         monkeypatch.setattr(simhash, "CHUNK", chunk)
         assert sorted(r.doc_id for r in simhash.one_per_group(df).collect()) == sorted({roots.index(r) for r in roots})
+
+
+def test_top_k_asks_the_smallest_valid_vector_of_a_repeated_id(spark):
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.integers(-9, 10, 3).astype(float).tolist()) for i in range(100)]
+    odd = [(20 * i, v) for i in range(5) for v in (None, [float("nan")] * 3, [1.0, None, 1.0], [50.0, 0.0, 0.0])]
+    schema = "vec_id long, embedding array<double>"
+    valid = sorted((i, v) for i, v in [*rows, *odd] if v is not None and all(x is not None and np.isfinite(x) for x in v))
+    for every in (odd + rows, rows + odd):
+        got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(every, schema).coalesce(1)).collect())
+        assert got == _brute(valid, 20, 20)
