@@ -13,7 +13,7 @@ from parcelflow.llm.text_stats import NAMES, with_statistics
 #: Rows whose crc32(doc_id) mod FOLDS is 0 are held out of learning.
 FOLDS = 5
 THRESHOLD = 0.3
-#: Bound on the labelled rows that reach the driver for the fit: the smallest by a hash of the id.
+#: Bound on the labels, and on the labelled rows that reach the driver for the fit: the smallest by a hash.
 SAMPLE_ROWS = 20_000
 
 
@@ -25,15 +25,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **
     """Fit to labels.quality by statistics of the whole texts of a bounded sample.
 
     Rows without a label, with a null label or a null id, or held out, are not learnt from.
-    Of an id with several labels all count. No labels give a constant score.
+    Of an id with several labels all count, of rows with the same id, text and label one. No labels give a constant score.
     """
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
         F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))
     )
     # Ids are chosen before their texts are joined; the order is by hash, so the sample is random.
     chosen = known.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit")), "doc_id", "quality").limit(sample_rows)
-    labelled = docs.select("doc_id", "text").join(chosen, "doc_id")
-    rows = with_statistics(labelled, ["quality"]).toPandas()
+    labelled = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(chosen, "doc_id")
+    # An id may stand in many rows of docs, so the bound holds once more, for rows that differ.
+    rows = with_statistics(labelled, ["doc_id", "text_hash", "quality"]).dropDuplicates(["doc_id", "text_hash", "quality"])
+    order = [F.xxhash64(F.col("doc_id").cast("string"), "text_hash", F.lit("fit")), "doc_id", "text_hash", "quality"]
+    rows = rows.orderBy(*order).limit(sample_rows).toPandas()
     return fit(rows[list(NAMES)].to_numpy(np.float64), rows["quality"].to_numpy(np.float64), NAMES, **options)
 
 

@@ -70,3 +70,15 @@ def test_language_of_odd_rows(odd_docs, no_docs):
     assert rows[8].lang_pred in {"en", "de", "fr", "es"}
     assert language.predicted(odd_docs, model).count() == odd_docs.count()
     assert language.predicted(no_docs, language.learn(no_docs)).count() == 0
+
+
+def test_rows_that_share_a_labelled_id_stay_within_the_bound(spark, monkeypatch):
+    ids = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"other text {k}") for k in range(300)] + [(ids[1], f"text {ids[1]}")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y, names, **options: seen.append(len(x)))
+    quality.learn(docs, labels, sample_rows=100)
+    quality.learn(docs, labels)
+    assert seen == [100, len(ids) + 300]
