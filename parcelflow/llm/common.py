@@ -77,6 +77,30 @@ def positions(
     )
 
 
+#: A key with more than a 1 / HOT_PARTS share of the rows is hot; so there are fewer than HOT_PARTS of them.
+HOT_PARTS = 256
+
+
+def join_spread(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """Inner join on a non-null column that is unique in `one`, however the rows of `many` gather on it.
+
+    The partners of hot keys, fewer than HOT_PARTS rows, are broadcast; all other rows are shuffled.
+    `many` should be a written table, since it is read three times.
+    """
+    spark = many.sparkSession
+    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    least = many.count() // HOT_PARTS
+    hot = [row[0] for row in counts.where(F.col("_rows") > max(least, 10_000)).select(key).collect()]
+    if not hot:
+        return many.join(one, key)
+    hot = spark.createDataFrame([(k,) for k in hot], one.select(key).schema)
+    partners = one.join(F.broadcast(hot), key, "left_semi")
+    return (
+        many.join(F.broadcast(partners), key)
+        .unionByName(many.join(F.broadcast(hot), key, "left_anti").join(one, key))
+    )
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Each Arrow batch with the UTF-8 bytes of one text column (None for null)."""
     for batch in batches:

@@ -1,13 +1,10 @@
 """SimHash fingerprints and near-duplicate groups by BK-trees over shards of fingerprints.
 
-A shard holds the fingerprints that agree on a set of bits. Where the radius is small, the sets
+A shard holds the fingerprints that agree on a set of bits. The sets
 come from the pigeonhole principle (some of `blocks` blocks stay unchanged), so that no link is
 lost; more and longer sets are taken as the number of fingerprints grows, to keep shards small.
 Each shard gets a BK-tree in the task that holds it, and the shard's fingerprints search it.
 Trees are not sent through the driver: together they grow with the data.
-
-Where a Jaccard similarity is asked for, fingerprints only propose groups; inside each, shingle sets
-are compared exactly.
 """
 
 from __future__ import annotations
@@ -18,21 +15,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm.bktree import BKTree, distances, merge_labels
-from parcelflow.llm.common import log2_ceiling, staged, text_batches
+from parcelflow.llm.common import join_spread, log2_ceiling, staged, text_batches
 from parcelflow.llm.graph import components
-from parcelflow.llm.hashfilter import build_filter, may_hold
 
 SEED = 42
 #: Shards beyond this many fingerprints are cut into chunks; each pair of chunks is one search.
 CHUNK = 2048
-#: Bytes of the shingle sets that a chunk may hold besides.
-CHUNK_BYTES = 32 << 20
 #: Shards up to this size are compared entry by entry.
 LEAF = 16
 #: Shingles whose bits are counted at once.
@@ -41,40 +34,15 @@ BLOCK = 4096
 
 @dataclass(frozen=True)
 class Settings:
-    """shingle: words. bits: a multiple of 64. distinct: count each shingle once.
-
-    bands: None for lossless shards; else so many sets of `band_bits` bits, which find a pair that
-    differs in a share p of its bits with chance 1 - (1 - (1 - p) ** band_bits) ** bands.
-    held: so many leading bits go into the shards and count for the radius; None for all.
-    jaccard: (a, b) to link texts whose shingle sets have a similarity of a / b or more, exactly;
-    fingerprints then only propose the groups to look in.
-    """
+    """shingle: words, repeats included. radius: most bits in which linked fingerprints of 64 bits differ."""
 
     shingle: int = 3
-    bits: int = 64
     radius: int = 3
-    distinct: bool = False
-    bands: int | None = None
-    band_bits: int = 16
-    held: int | None = None
-    jaccard: tuple[int, int] | None = None
 
 
-#: The contract of the fingerprint query.
+#: The contract of the fingerprint query, and of the pipeline's stage.
 EXACT_64 = Settings()
-#: Five-word shingles and a Jaccard similarity of 0.8: a cosine of 0.889 over shingle sets, which
-#: is 0.152 of the bits, 29 of those held; the radius adds four standard deviations. Random texts
-#: differ in half. No band is shared by 1 in 1,300 pairs at 0.8, by 1 in 60,000 at 0.85.
-JACCARD_08 = Settings(shingle=5, bits=512, radius=50, distinct=True, bands=96, band_bits=16, held=192, jaccard=(4, 5))
-
-
-def _spread(h: np.ndarray, words: int) -> np.ndarray:
-    """More 64-bit words from one hash, each mixed anew."""
-    step = np.arange(1, words, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = h[:, None] + step[None, :]
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return np.concatenate([h[:, None], x ^ (x >> np.uint64(31))], axis=1)
+BITS = 64
 
 
 def shingle_hashes(text: bytes | None, s: Settings) -> np.ndarray:
@@ -94,46 +62,40 @@ def fingerprint(text: bytes | None, s: Settings = EXACT_64) -> bytes:
     """Majority bits of the shingles' XXH64; all zero for a text without words."""
     h = shingle_hashes(text, s)
     if not len(h):
-        return bytes(s.bits // 8)
-    if s.distinct:
-        h = np.unique(h)
-    ones = np.zeros(s.bits, dtype=np.int64)
+        return bytes(BITS // 8)
+    ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(h), BLOCK):
         part = h[at : at + BLOCK]
-        if s.bits > 64:
-            part = _spread(part.astype(np.uint64), s.bits // 64).astype(">u8")
         bits = np.unpackbits(part.view(np.uint8).reshape(len(part), -1), axis=1)
         ones += bits.sum(axis=0, dtype=np.int64)
     return np.packbits(2 * ones > len(h)).tobytes()
 
 
 def fingerprints(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, fp) per row. text_hash tells rows that share an id apart."""
+    """(id, text_hash, row_hash, fp) per row. text_hash tells rows that share an id apart, row_hash those that differ elsewhere."""
+    hashable = [f"`{f.name}`" for f in docs.schema if "map<" not in f.dataType.simpleString()]
     slim = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
+        F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("text_hash"),
+        F.xxhash64(*hashable).alias("row_hash"), F.col(f"`{text_col}`").alias("text"),
     )
     id_type = slim.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "text"):
             fps = pa.array([fingerprint(t, s) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], ["id", "text_hash", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], fps], ["id", "text_hash", "row_hash", "fp"])
 
-    return slim.mapInArrow(run, f"id {id_type}, text_hash long, fp binary")
+    return slim.mapInArrow(run, f"id {id_type}, text_hash long, row_hash long, fp binary")
 
 
 def key_masks(s: Settings, rows: int) -> list[np.ndarray]:
     """Sets of bits, as 64-bit words; fingerprints that agree on one set share a shard."""
-    bits = np.arange(s.bits)
-    if s.bands is None:
-        for blocks in range(s.radius + 1, s.radius + 4):
-            if s.bits * (blocks - s.radius) // blocks >= log2_ceiling(rows) - 2:
-                break
-        block = bits * blocks // s.bits
-        kept = [np.isin(block, c) for c in combinations(range(blocks), blocks - s.radius)]
-    else:
-        shuffled = np.random.default_rng(SEED).permutation(np.resize(bits, s.bands * s.band_bits))
-        kept = [np.isin(bits, x) for x in shuffled.reshape(s.bands, s.band_bits)]
+    bits = np.arange(BITS)
+    for blocks in range(s.radius + 1, s.radius + 4):
+        if BITS * (blocks - s.radius) // blocks >= log2_ceiling(rows) - 2:
+            break
+    block = bits * blocks // BITS
+    kept = [np.isin(block, c) for c in combinations(range(blocks), blocks - s.radius)]
     return [np.packbits(k).view(">u8").astype(np.uint64) for k in kept]
 
 
@@ -143,17 +105,14 @@ def _as_words(values: list[bytes]) -> np.ndarray:
     return joined.reshape(len(values), -1) if values else joined.reshape(0, 1)
 
 
-def _keyed(fps: DataFrame, masks: list[np.ndarray], held: int | None = None) -> DataFrame:
+def _keyed(fps: DataFrame, masks: list[np.ndarray]) -> DataFrame:
     """A row (shard, fp) per fingerprint and set of bits; shards hash the set's number and bits."""
-    size = None if held is None else held // 8
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("fp")
             if not len(values):
                 continue
             words = _as_words(values.to_pylist())
-            values = pc.binary_slice(values, 0, size)
             for number, mask in enumerate(masks):
                 h = np.full(len(words), number + 1, dtype=np.uint64)
                 for column in (words & mask).T:
@@ -247,18 +206,19 @@ def _links(keyed: DataFrame, radius: int) -> DataFrame:
     return spread.mapInArrow(run, "a binary, b binary")
 
 
-def near_groups(prints: DataFrame, s: Settings) -> DataFrame:
+def near_groups(prints: DataFrame, s: Settings = EXACT_64) -> DataFrame:
     """(fp, root, component): per distinct fingerprint its group's root, and the smallest id that its links reach."""
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("first"))
-    masks = key_masks(s, prints.select("fp").distinct().count())
-    roots = components(_links(_keyed(distinct.select("fp"), masks, s.held), s.radius))
-    distinct = distinct.withColumn("node", F.substring("fp", 1, (s.held or s.bits) // 8))
+    distinct = staged(prints.groupBy("fp").agg(F.min("id").alias("first")), "near-distinct")
+    masks = key_masks(s, distinct.count())
+    roots = components(_links(_keyed(distinct.select("fp"), masks), s.radius))
     rooted = staged(
-        distinct.join(roots, "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root")),
+        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "fp", "first", F.coalesce("root", "fp").alias("root")
+        ),
         "near-roots",
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    return rooted.join(smallest, "root").select("fp", "root", "component")
+    return join_spread(rooted.select("fp", "root"), smallest, "root").select("fp", "root", "component")
 
 
 def near_duplicates(
@@ -271,105 +231,30 @@ def near_duplicates(
     only has a null component. An empty table gives none. Other columns are not read.
     """
     prints = staged(fingerprints(docs, s, id_col, text_col), "fingerprints")
-    return prints.join(near_groups(prints, s), "fp").select("id", "text_hash", "fp", "component")
-
-
-def _similar(rows: pa.Table, share: tuple[int, int]) -> pa.Table:
-    """(a, b): links that span what is connected by sets with a similarity of at least `share`.
-
-    A breadth-first search: each set is compared with those not reached yet, all at once.
-    """
-    keys, at = np.unique(rows.column("text_hash").to_numpy(), return_index=True)
-    held = rows.column("shingles").to_pylist()
-    sets = [np.frombuffer(held[i], np.uint64) for i in at]
-    sizes = np.array([len(x) for x in sets])
-    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    ends = np.cumsum(sizes)
-    own = lambda i: number[ends[i] - sizes[i] : ends[i]]
-    mark = np.zeros(len(number), bool)
-    away, flat, links = np.arange(len(keys)), number, []
-    while len(away):
-        queue, reached = [away[0]], True
-        away, flat = away[1:], flat[sizes[away[0]] :]
-        while queue and len(away):
-            one = queue.pop()
-            mark[own(one)] = True
-            upto = np.r_[0, np.cumsum(mark[flat])][np.r_[0, np.cumsum(sizes[away])]]
-            mark[own(one)] = False
-            both = np.diff(upto)
-            reached = both * share[1] >= share[0] * (sizes[one] + sizes[away] - both)
-            if reached.any():
-                found = away[reached]
-                links += [(keys[one], keys[x]) for x in found]
-                queue += list(found)
-                flat, away = flat[np.repeat(~reached, sizes[away])], away[~reached]
-    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
-
-
-def _exact_groups(docs: DataFrame, found: DataFrame, s: Settings, text_col: str) -> DataFrame:
-    """(text_hash, exact): the texts that stand in a proposed group with others, and their exact group's root.
-
-    Proposed groups of up to CHUNK texts are compared in one task. Of larger ones each chunk is
-    compared in itself and with one text of the group, which is enough for a group of near copies;
-    where that leaves several groups, every pair of chunks is compared as well.
-    """
-    texts = found.select("root", "text_hash").distinct()
-    several = texts.groupBy("root").count().where("count > 1").select("root")
-    members = staged(texts.join(several, "root").select(F.xxhash64("root").alias("group"), "text_hash"), "near-members")
-    bits = docs.sparkSession.sparkContext.broadcast(build_filter(members.select(F.col("text_hash").alias("hash"))))
-    slim = docs.select(F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.array(may_hold(bits.value, batch.column("text_hash").to_numpy().view(np.uint64))))
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            sets = pa.array([np.unique(shingle_hashes(t, s)).astype(np.uint64).tobytes() for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("text_hash"), sets], ["text_hash", "shingles"])
-
-    sets = slim.mapInArrow(run, "text_hash long, shingles binary").groupBy("text_hash").agg(F.first("shingles").alias("shingles"))
-    sets = staged(members.join(sets, "text_hash"), "near-sets")
-    parts = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum(F.length("shingles").cast("long")) / CHUNK_BYTES), F.lit(1))
-    sizes = sets.groupBy("group").agg(parts.cast("int").alias("chunks"), F.min("text_hash").alias("lead"))
-    large = staged(sizes.where("chunks > 1"), "near-large")
-    cut = sets.join(large, "group", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("text_hash"), F.col("chunks")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    leads = F.when(F.col("text_hash") == F.col("lead"), every).otherwise(F.array("own"))
-    compare = lambda rows: _similar(rows, s.jaccard)
-    first = cut.select("group", "text_hash", "shingles", F.explode(leads).alias("chunk"))
-    links = staged(first.groupBy("group", "chunk").applyInArrow(compare, "a long, b long"), "near-links")
-    exact = components(links).select(F.col("node").alias("text_hash"), F.col("root").alias("exact"))
-    parted = (
-        cut.where("chunks > 1").join(exact, "text_hash", "left").groupBy("group")
-        .agg(F.min(F.coalesce("exact", "text_hash")).alias("low"), F.max(F.coalesce("exact", "text_hash")).alias("high"))
-        .where("low <> high").select("group")
-    )
-    parted = staged(parted, "near-parted")
-    if not parted.isEmpty():
-        pairs = cut.join(parted, "group").withColumn("other", F.explode(every)).select(
-            "group", "text_hash", "shingles", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")
-        )
-        more = pairs.groupBy("group", "one", "two").applyInArrow(compare, "a long, b long")
-        exact = components(links.union(more)).select(F.col("node").alias("text_hash"), F.col("root").alias("exact"))
-    return exact
+    return join_spread(prints, near_groups(prints, s), "fp").select("id", "text_hash", "fp", "component")
 
 
 def one_per_group(
-    docs: DataFrame, s: Settings = JACCARD_08, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, s: Settings = EXACT_64, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of docs with the smallest id of their group, all columns; one row of each group.
+    """The row of docs with the smallest id of each group, all columns.
 
-    Of rows that share id and text one stays; rows without an id stay only where no row of their
-    group has one, then one of them.
+    Of rows that share that id the one with the smallest hash of the text, then of the row, stays, so
+    reruns agree; rows without an id stay only where no row of their group has one, then one of them.
+    Null and blank texts are one group. An empty table gives none.
     """
     prints = staged(fingerprints(docs, s, id_col, text_col), "fingerprints")
-    found = prints.join(near_groups(prints, s), "fp").select("id", "text_hash", "root")
-    if s.jaccard is not None:
-        exact = _exact_groups(docs, found, s, text_col)
-        found = found.join(exact, "text_hash", "left").withColumn("root", F.coalesce("exact", "text_hash"))
-    # By the root: groups without a link can have the same smallest id.
-    pick = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("odd"), "id", "text_hash")).alias("kept"))
-    kept = pick.select(F.col("kept.id").alias("_kept_id"), F.col("kept.text_hash").alias("_kept_hash")).distinct()
-    hashed = docs.withColumn("_near_hash", F.xxhash64(text_col))
-    same = hashed[id_col].eqNullSafe(kept["_kept_id"]) & (hashed["_near_hash"] == kept["_kept_hash"])
-    return hashed.join(kept, same, "left_semi").dropDuplicates([id_col, "_near_hash"]).drop("_near_hash")
+    found = join_spread(prints, near_groups(prints, s).select("fp", "root"), "fp")
+    first = F.min(F.struct(F.col("id").isNull().alias("odd"), "id", "text_hash", "row_hash")).alias("kept")
+    kept = found.groupBy("root").agg(first).select(
+        F.col("kept.id").alias("_kept_id"), F.col("kept.text_hash").alias("_kept_text"), F.col("kept.row_hash").alias("_kept_row")
+    )
+    hashable = [f"`{f.name}`" for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    hashed = docs.withColumn("_near_text", F.xxhash64(f"`{text_col}`")).withColumn("_near_row", F.xxhash64(*hashable))
+    same = (
+        hashed[f"`{id_col}`"].eqNullSafe(kept["_kept_id"]) & (hashed["_near_text"] == kept["_kept_text"])
+        & (hashed["_near_row"] == kept["_kept_row"])
+    )
+    # What is left of one key are repeats of one row.
+    once = hashed.join(kept, same, "left_semi").dropDuplicates([id_col, "_near_text", "_near_row"])
+    return once.drop("_near_text", "_near_row")

