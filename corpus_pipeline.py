@@ -20,8 +20,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group linked by a Jaccard similarity of 0.8 or more of five-word shingle sets."""
-    return simhash.one_per_group(docs, simhash.JACCARD_08)
+    """One row of each group whose SimHash fingerprints (three-word shingles, 64 bits) link at 3 or fewer bits."""
+    return simhash.one_per_group(docs, simhash.EXACT_64)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
