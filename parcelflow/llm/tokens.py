@@ -19,75 +19,147 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import staged, text_batches
+from parcelflow.llm.common import staged
 from parcelflow.session import new_scratch
 
 END_ID = 1
-#: Pieces, and parts of pieces, that a Python worker remembers the ids of.
-LEXICON = 600_000
-#: ASCII white space; the tokenizer never joins what it parts.
-_PIECE = re.compile(rb"[^\x20\x09-\x0D]+")
-#: Printable ASCII without the apostrophe, and the letters of Latin-1; their composition is fixed.
-_LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
-_PLAIN = re.compile(rb"(?:[!-&(-~]|" + _LETTER + rb")+")
-_PART = re.compile(_LETTER + rb"+|[0-9]|[!-/:-@\[-`{-~]+")
+#: Stands for a missing document id in the order of parts: before all others.
+NO_ID = -(2**63)
+#: Words that a Python worker remembers the ids of.
+LEXICON = 1_000_000
+#: Bytes of texts that are taken apart at once; a longer text is taken alone.
+BLOCK_BYTES = 16 << 20
+#: Pieces encoded alone: with an apostrophe, the start of a special token, or beyond printable ASCII and Latin-1's letters.
+_ODD = r"'|<\||[^\x21-\x7e\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]"
+#: What stands alone inside a piece: a run of marks, a digit.
+_ALONE = r"([!-/:-@\[-`{-~]+|[0-9])"
 
 INDEX = "part int, ids string, docs string, null_ids long, documents long, tokens long"
 
 
-class Encoder(dict):
-    """Bytes of the ids of each piece between white space, all from the tokenizers library.
+def _gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The slices of pool that begin at starts, one behind the other."""
+    before = np.cumsum(lengths) - lengths
+    return pool[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+
+
+def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of values between each two offsets."""
+    upto = np.r_[0, np.cumsum(values)]
+    return upto[offsets[1:]] - upto[offsets[:-1]]
+
+
+def _listed(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """Values of the lists, and offsets into them."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
+
+
+class Encoder:
+    """Ids of whole texts, all from the tokenizers library.
 
     Only for tokenizers in lower case that drop white space, never look across it, part letters,
     digits and marks, and end each word with a token of its own kind; then a text's ids are those
-    of its pieces, and a piece's are those of its runs of letters, single digits and runs of
-    marks. New ones are encoded together, parted by spaces, and cut behind their last tokens.
-    Pieces with an apostrophe, a special token or letters beyond Latin-1 are encoded alone.
+    of its pieces between white space, and a piece's are those of its runs of letters, single
+    digits and runs of marks. Distinct pieces are taken apart as Arrow columns, distinct words
+    looked up; new words are encoded together, parted by spaces, and cut behind their last tokens.
     """
 
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.parts = Tokenizer.from_file(path), kind, {}
+        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.pool = np.zeros(0, self.kind)
 
-    def _ids(self, text: bytes) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, self.kind)
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
-    def learn(self, pieces: set[bytes]) -> None:
-        plain = {p: _PART.findall(p.lower()) for p in pieces if _PLAIN.fullmatch(p) and b"<|" not in p}
-        new = list(set().union(*plain.values()).difference(self.parts))
+    def _words(self, words: list[str]) -> np.ndarray:
+        """Numbers of words, new ones learnt. The empty word has number 0 and no ids."""
+        new = [w for w in words if w and w not in self.numbers]
+        lengths, pools = [self.lengths], [self.pool]
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
-            ids = self._ids(b" ".join(some))
+            ids = self._ids(" ".join(some))
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(some):
                 raise ValueError("this tokenizer doesn't end each word with a token of its own kind")
-            size, raw = ids.itemsize, ids.tobytes()
-            bounds = [0, *(cuts * size).tolist()]
-            self.parts.update((part, raw[a:b]) for part, a, b in zip(some, bounds[:-1], bounds[1:], strict=True))
-        for piece in pieces:
-            parts = plain.get(piece)
-            self[piece] = self._ids(piece).tobytes() if parts is None else b"".join(map(self.parts.__getitem__, parts))
-
-    def encode(self, texts: list[bytes | None], end: bytes) -> list[bytes]:
-        if len(self) > LEXICON:
-            self.clear()
-        if len(self.parts) > LEXICON:
-            self.parts.clear()
-        out = []
-        for at in range(0, len(texts), 1024):
-            pieces = [_PIECE.findall(t or b"") for t in texts[at : at + 1024]]
-            self.learn(set().union(*pieces).difference(self))
-            out += [b"".join(map(self.__getitem__, p)) + end for p in pieces]
-        return out
+            first = len(self.numbers) + 1
+            self.numbers.update(zip(some, range(first, first + len(some)), strict=True))
+            lengths.append(np.diff(np.r_[0, cuts]))
+            pools.append(ids[: cuts[-1]])
+        self.lengths, self.pool = np.concatenate(lengths), np.concatenate(pools)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        return np.array([self.numbers[w] if w else 0 for w in words], np.int64)
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lengths) of distinct pieces."""
+        odd = pc.match_substring_regex(pieces, _ODD)
+        spaced = pc.replace_substring_regex(pc.if_else(odd, "", pieces), _ALONE, r" \1 ")
+        words, offsets = _listed(pc.ascii_split_whitespace(pc.utf8_lower(spaced)))
+        coded = words.dictionary_encode()
+        numbers = self._words(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        per_word = self.lengths[numbers]
+        lengths = _sums(per_word, offsets)
+        ids = _gather(self.pool, self.starts[numbers], per_word)
+        alone = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(alone):
+            more = [self._ids(x) for x in pieces.take(pa.array(alone)).to_pylist()]
+            lengths[alone] = [len(x) for x in more]
+            order = np.full(len(lengths), -1)
+            order[alone] = np.arange(len(alone))
+            # Pieces taken alone have no ids yet, so theirs go behind all others.
+            starts = np.cumsum(np.where(order < 0, lengths, 0)) - np.where(order < 0, lengths, 0)
+            starts[alone] = len(ids) + np.cumsum(lengths[alone]) - lengths[alone]
+            return np.concatenate([ids, *more]), starts, lengths
+        return ids, np.cumsum(lengths) - lengths, lengths
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For blocks of texts: the ids of all, each with the end id, and where each text begins and the last ends."""
+        texts = pc.fill_null(texts, "")
+        bytes_of = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            base = bytes_of[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(bytes_of, base + BLOCK_BYTES, "right")))
+            if len(self.numbers) > LEXICON:
+                self.forget()
+            pieces, offsets = _listed(pc.ascii_split_whitespace(texts.slice(at, upto - at)))
+            coded = pieces.dictionary_encode()
+            held, starts, lengths = self._pieces(coded.dictionary)
+            which = coded.indices.to_numpy()
+            ids = _gather(held, starts[which], lengths[which])
+            counts = _sums(lengths[which], offsets) + 1
+            bounds = np.r_[0, np.cumsum(counts)]
+            whole = np.full(bounds[-1], END_ID, self.kind)
+            inside = np.ones(bounds[-1], bool)
+            inside[bounds[1:] - 1] = False
+            whole[inside] = ids
+            yield whole, bounds
+            at = upto
+
+
+def _as_texts(column: pa.Array) -> pa.Array:
+    """The column as valid UTF-8."""
+    try:
+        column.validate(full=True)
+        return column
+    except pa.ArrowInvalid:
+        return pa.array([None if t is None else t.decode("utf-8", "replace") for t in column.cast(pa.binary()).to_pylist()], pa.string())
 
 
 @lru_cache(maxsize=1)
@@ -125,6 +197,11 @@ def _map(folder: str, name: str, kind: str) -> np.ndarray:
         return np.frombuffer(source.read(), kind)
 
 
+def _a_task_each(index: DataFrame, parts: int) -> DataFrame:
+    """One task per part; a hash would put several into one, and the adaptive planner joins small ones."""
+    return index.repartitionById(parts, F.col("part"))
+
+
 def write_corpus(
     docs: DataFrame, tokenizer_path: str, folder: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, str]:
@@ -135,20 +212,33 @@ def write_corpus(
     every executor. An empty table gives an index without rows. Ids travel compressed, not texts.
     """
     kind = id_type(tokenizer_path)
-    end = np.array([END_ID], kind).tobytes()
+    size = np.dtype(kind).itemsize
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
     # Bounds of the parts come from the ids alone, so no text is encoded for a sample.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / parts for i in range(1, parts)]
-    bounds = np.array(slim.select(F.percentile_approx("id", shares, 10 * parts)).first()[0] or [] if shares else [], np.int64)
+    known = F.coalesce("id", F.lit(NO_ID))
+    bounds = np.array(slim.select(F.percentile_approx(known, shares, 10 * parts)).first()[0] or [] if shares else [], np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = _encoder(tokenizer_path, kind), zstandard.ZstdCompressor(level=1)
-        for batch, texts in text_batches(batches, "text"):
-            packed = [packer.compress(ids) for ids in encoder.encode(texts, end)]
-            part = np.searchsorted(bounds, batch.column("id").fill_null(-(2**63)).to_numpy(), "left").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column(0), pa.array(packed, pa.binary())], ["part", "id", "packed"])
+        encoder, packer, row = _encoder(tokenizer_path, kind), zstandard.ZstdCompressor(level=1), 0
+        for batch in batches:
+            ids = batch.column("id").fill_null(NO_ID).to_numpy()
+            # A hot id is a bound several times; its rows are dealt over all parts that may hold it.
+            first, last = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+            part = first + (row + np.arange(len(ids))) % (last - first + 1)
+            row += len(ids)
+            at = 0
+            for whole, ends in encoder.encode(_as_texts(batch.column("text"))):
+                raw, size, n = memoryview(whole.tobytes()), whole.itemsize, len(ends) - 1
+                cuts = (ends * size).tolist()
+                packed = [packer.compress(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[at : at + n].astype(np.int32)), batch.column(0).slice(at, n), pa.array(packed, pa.binary())],
+                    ["part", "id", "packed"],
+                )
+                at += n
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -163,7 +253,7 @@ def write_corpus(
                 ids.write(batch.column("id").fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
                 raw = [unpacker.decompress(p) for p in batch.column("packed").to_pylist()]
                 out.write(b"".join(raw))
-                lengths = np.array([len(r) // len(end) for r in raw], "<u8")
+                lengths = np.array([len(r) // size for r in raw], "<u8")
                 sizes.write(lengths.tobytes())
                 tokens += int(lengths.sum())
         if not (count := len(ids.getvalue()) // 8):
@@ -180,7 +270,8 @@ def write_corpus(
     written = staged(ordered.mapInArrow(write, INDEX), "token-parts")
     # One row per part, however large the parts are.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    based = written.withColumn("base", F.coalesce(F.sum("tokens").over(earlier), F.lit(0))).repartition("part")
+    based = written.withColumn("base", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
+    based = _a_task_each(based, parts)
 
     def offset(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +306,8 @@ def read_corpus(index: DataFrame, folder: str, kind: str) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    return index.repartition("part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    parts = (index.agg(F.max("part")).first()[0] or 0) + 1
+    return _a_task_each(index, parts).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, **columns) -> DataFrame:

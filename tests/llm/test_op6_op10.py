@@ -7,10 +7,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from parcelflow.llm import extract, tokens
 from parcelflow.llm.common import table
+from parcelflow.session import new_scratch
 
 
 def test_articles_of_all_pages(spark, sf_dir):
@@ -82,4 +85,29 @@ def test_pieces_are_encoded_as_whole_texts_are():
     tokenizer, encoder = Tokenizer.from_file(_vocabulary()), tokens.Encoder(_vocabulary(), "<u2")
     for text in ("I'm here;they'll  <|endoftext|>gó ́x", "a b c\x1cd\x85e", "ÀÉ 漢字😀 12x3\t\n''s", "e ́ ﬁ İstanbul"):
         whole = tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.encode([text.encode()], b"")[0], "<u2").tolist() == whole, text
+        ((ids, bounds),) = encoder.encode(pa.array([text, None, text, ""]))
+        assert ids.tolist() == [*whole, 1, 1, *whole, 1, 1], text
+        assert bounds.tolist() == [0, len(whole) + 1, len(whole) + 2, 2 * len(whole) + 3, 2 * len(whole) + 4]
+
+
+def test_texts_in_blocks_and_bytes_that_are_no_text(monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 40)
+    monkeypatch.setattr(tokens, "LEXICON", 3)
+    encoder = tokens.Encoder(_vocabulary(), "<u2")
+    texts = pa.array([f"some words of text number {i}, it's {'long ' * i}" for i in range(30)])
+    found = [x for ids, bounds in encoder.encode(texts) for x in np.split(ids, bounds[1:-1])]
+    assert [x[:-1].tolist() for x in found] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+    broken = pa.Array.from_buffers(pa.string(), 1, pa.array([b"ab\xff c"]).buffers())
+    assert tokens._as_texts(broken).to_pylist() == ["ab\ufffd c"]
+
+
+def test_rows_of_one_id_are_dealt_over_parts_and_read_by_as_many_tasks(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    folder = new_scratch(spark, "tokens-test")
+    index, kind = tokens.write_corpus(docs, _vocabulary(), folder)
+    sizes = [r.documents for r in index.collect()]
+    assert len(sizes) == 8 and max(sizes) < 250
+    read = tokens.read_corpus(index, folder, kind)
+    _check(docs.collect(), read.collect())
+    assert read.select(F.spark_partition_id().alias("task")).distinct().count() == 8
