@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import decontaminate, extract, language, mixing, quality, sharding, simhash, suffixes, tokens, topk
+from parcelflow.llm import (
+    decontaminate, extract, language, merkle, mixing, quality, sharding, simhash, suffixes, tokens, topk,
+    whitening,
+)
 from parcelflow.llm.common import table
 
 SHARDS = 8
@@ -66,12 +69,23 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
+def op12_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_kd_sharding, op2_rule_quality, op3_histogram_topk, op4_suffix_repeats, op5_template_decontamination,
-        op6_text_density, op7_ngram_bitmask, op8_source_mixing, op9_simhash_bktree, op10_token_files,
+        op6_text_density, op7_ngram_bitmask, op8_source_mixing, op9_simhash_bktree, op10_token_files, op11_merkle_manifest,
+        op12_incremental_whitening,
     )
 }
 
-LLM_SQL: dict[str, str] = {"op3_histogram_topk": topk.ORACLE_SQL, "op8_source_mixing": mixing.ORACLE_SQL}
+LLM_SQL: dict[str, str] = {
+    "op3_histogram_topk": topk.ORACLE_SQL, "op8_source_mixing": mixing.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL,
+}
