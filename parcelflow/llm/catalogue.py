@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm import (
     decontaminate, extract, language, merkle, mixing, quality, sharding, simhash, suffixes, tokens, topk,
-    whitening,
+    warc, whitening,
 )
 from parcelflow.llm.common import table
 
@@ -77,15 +77,20 @@ def op12_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op13_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_kd_sharding, op2_rule_quality, op3_histogram_topk, op4_suffix_repeats, op5_template_decontamination,
         op6_text_density, op7_ngram_bitmask, op8_source_mixing, op9_simhash_bktree, op10_token_files, op11_merkle_manifest,
-        op12_incremental_whitening,
+        op12_incremental_whitening, op13_warc_revisits,
     )
 }
 
 LLM_SQL: dict[str, str] = {
     "op3_histogram_topk": topk.ORACLE_SQL, "op8_source_mixing": mixing.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL,
+    "op13_warc_revisits": warc.ORACLE_SQL,
 }
