@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,5 +109,35 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tup
         yield batch, batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def listed(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """Values of the lists, and offsets into them."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
+
+
+def as_texts(column: pa.Array) -> pa.Array:
+    """The column as valid UTF-8."""
+    try:
+        column.validate(full=True)
+        return column
+    except pa.ArrowInvalid:
+        return pa.array([None if t is None else t.decode("utf-8", "replace") for t in column.cast(pa.binary()).to_pylist()], pa.string())
+
+
+#: Bytes of texts that are taken apart at once; a longer text is taken alone.
+BLOCK_BYTES = 16 << 20
+
+
+def text_blocks(texts: pa.Array, size: int | None = None) -> Iterator[pa.Array]:
+    """The texts, nulls as empty ones, in slices of about so many bytes (BLOCK_BYTES by default)."""
+    texts = pc.fill_null(texts, "")
+    upto_bytes, at = np.cumsum(pc.binary_length(texts).to_numpy()), 0
+    while at < len(texts):
+        base = upto_bytes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto_bytes, base + (size or BLOCK_BYTES), "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def log2_ceiling(n: int) -> int:
     return max(0, math.ceil(math.log2(max(1, n))))

@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import staged, text_batches
+from parcelflow.llm.common import as_texts, listed, staged, text_blocks
 from parcelflow.llm.hashfilter import build_filter, may_hold
 
 #: Template words in a window. Items with fewer words are one window of their own length.
@@ -39,70 +41,97 @@ _END = re.compile(r"[.!?:]\W*$")
 _EDGES = re.compile(r"^[^\w$€£+-]+|[^\w%]+$")
 
 
+class Words(NamedTuple):
+    """The template words of several texts, one behind the other.
+
+    hashes of the template's words; their kinds (0: literal) and numbers in the lexicon; whether a name
+    stands first in a sentence, and so perhaps is none; hashes of the small letters; the text of each word.
+    """
+
+    hashes: np.ndarray
+    kinds: np.ndarray
+    numbers: np.ndarray
+    first: np.ndarray
+    folded: np.ndarray
+    owner: np.ndarray
+
+
 class Lexicon(dict):
     """Word numbers by raw word; per number its hash, kind and lower-case value. Holds a bounded number."""
 
     LIMIT = 400_000
     KINDS = (NUMBER, QUANTITY, NAME, UNIT)
+    #: Hashes of what stands for a word; a unit is one only behind a number, so it has its own word's until then.
+    SLOTS = {kind: xxhash.xxh64_intdigest(kind.encode(), 5) for kind in (NUMBER, QUANTITY, NAME)}
 
     def __init__(self):
-        self.hashes, self.kinds, self.values = np.zeros(1024, np.uint64), np.zeros(1024, np.int8), []
-        self.folded, self.ends = np.zeros(1024, np.uint64), np.zeros(1024, bool)
+        self.hashes, self.folded = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.kinds, self.ends, self.values = np.zeros(0, np.int8), np.zeros(0, bool), []
 
-    def __missing__(self, raw: str) -> int:
-        word = _EDGES.sub("", raw)
-        low = word.lower()
+    def _kind(self, word: str, low: str) -> int:
+        """Number of its kind in KINDS from 1, 0 for a literal, -1 where there is no letter or digit."""
         if not word:
-            kind = None
-        elif _NUMBER.fullmatch(low):
-            kind = NUMBER
-        elif (m := _QUANTITY.fullmatch(low)) and m[2] in UNITS:
-            kind = QUANTITY
-        elif low in UNITS:
-            kind = UNIT
-        elif word[0].isupper() and word[1:] == word[1:].lower():
-            kind = NAME
-        else:
-            kind = low
-        self[raw] = number = len(self.values)
-        if number == len(self.hashes):
-            for name in ("hashes", "kinds", "folded", "ends"):
-                setattr(self, name, np.resize(getattr(self, name), 2 * number))
-        self.hashes[number] = _hash(low if kind == UNIT else kind or "")
-        self.kinds[number] = -1 if kind is None else self.KINDS.index(kind) + 1 if kind in self.KINDS else 0
-        self.folded[number], self.ends[number] = _hash(low), bool(_END.search(raw))
-        self.values.append(low)
-        return number
-
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the template's words, their kinds (0: literal), their numbers for `value`, first words.
-
-        A word with a capital first letter and small others is a name, and where it begins a sentence
-        (then marked as first) perhaps none; a unit after a number is a unit, elsewhere a literal;
-        what holds no letter or digit is left out.
-        """
-        if len(self) > self.LIMIT:
+            return -1
+        # What is all letters needs no pattern.
+        if not word.isalpha():
+            if _NUMBER.fullmatch(low):
+                return 1
+            if (m := _QUANTITY.fullmatch(low)) and m[2] in UNITS:
+                return 2
+        if low in UNITS:
+            return 4
+        return 3 if word[0].isupper() and word[1:] == word[1:].lower() else 0
+
+    def learn(self, words: list[str]) -> None:
+        known = len(self.values)
+        hashes, folded, kinds, ends = [], [], [], []
+        for number, raw in enumerate(words, known):
+            # Most words are letters, perhaps with a mark behind.
+            word = raw if raw.isalnum() else raw[:-1] if raw[:-1].isalnum() and raw[-1] in ".,;:!?" else _EDGES.sub("", raw)
+            low = word.lower()
+            kind, own = self._kind(word, low), _hash(low)
+            hashes.append(self.SLOTS[self.KINDS[kind - 1]] if 0 < kind < 4 else own)
+            folded.append(own)
+            kinds.append(kind)
+            ends.append(raw != word and bool(_END.search(raw)))
+            self.values.append(low)
+            self[raw] = number
+        self.hashes = np.concatenate([self.hashes, np.array(hashes, np.uint64)])
+        self.folded = np.concatenate([self.folded, np.array(folded, np.uint64)])
+        self.kinds = np.concatenate([self.kinds, np.array(kinds, np.int8)])
+        self.ends = np.concatenate([self.ends, np.array(ends, bool)])
+
+    def read(self, texts: pa.Array) -> Words:
+        """A word with a capital first letter and small others is a name; a unit after a number is a unit, elsewhere
+        a literal; what holds no letter or digit is left out."""
+        if len(self.values) > self.LIMIT:
             self.clear()
             self.__init__()
-        raw = text.split()
-        numbers = np.fromiter(map(self.__getitem__, raw), np.int64, len(raw))
+        words, offsets = listed(pc.utf8_split_whitespace(texts))
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self.learn([w for w in distinct if w not in self])
+        numbers = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
         begins = np.r_[True, self.ends[numbers[:-1]]][: len(numbers)]
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
         held = self.kinds[numbers] >= 0
         # A sentence may begin with marks.
         begins[1:] |= begins[:-1] & ~held[:-1]
-        numbers, begins = numbers[held], begins[held]
+        numbers, begins, owner = numbers[held], begins[held], owner[held]
         hashes, kinds = self.hashes[numbers], self.kinds[numbers]
-        unit = kinds == 4
-        if unit.any():
-            after = np.r_[False, kinds[:-1] == 1]
-            hashes[unit & after] = _hash(UNIT)
-            kinds[unit & ~after] = 0
-        return hashes, kinds, numbers, begins & (kinds == 3)
+        unit = np.flatnonzero(kinds == 4)
+        if len(unit):
+            before = np.maximum(unit - 1, 0)
+            after = (unit > 0) & (kinds[before] == 1) & (owner[before] == owner[unit])
+            hashes[unit[after]] = _hash(UNIT)
+            kinds[unit[~after]] = 0
+        return Words(hashes, kinds, numbers, begins & (kinds == 3), self.folded[numbers], owner)
 
     def template(self, text: str) -> list[str]:
         """The template itself, for reading."""
-        _, kinds, numbers, _ = self.read(text)
-        return [self.KINDS[k - 1] if k else self.values[n] for k, n in zip(kinds, numbers, strict=True)]
+        words = self.read(pa.array([text]))
+        return [self.KINDS[k - 1] if k else self.values[n] for k, n in zip(words.kinds, words.numbers, strict=True)]
 
 
 def _hash(word: str) -> int:
@@ -110,12 +139,22 @@ def _hash(word: str) -> int:
 
 
 def _rolled(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash per window of `size` words, put together from windows of 1, 2, 4, … words."""
+
+    def mixed(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        both = (one * np.uint64(0xD6E8FEB86659FD93) + two) * np.uint64(0x9E3779B97F4A7C15)
+        both ^= both >> np.uint64(32)
+        return both
+
     n = len(hashes) - size + 1
-    rolled = np.full(n, size, dtype=np.uint64)
-    for i in range(size):
-        rolled = (rolled + hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-        rolled ^= rolled >> np.uint64(32)
-    return rolled
+    rolled, covered, part, width = np.full(n, size, dtype=np.uint64), 0, hashes, 1
+    while True:
+        if size & width:
+            rolled = mixed(rolled, part[covered : covered + n])
+            covered += width
+        if covered == size:
+            return rolled
+        part, width = mixed(part[:-width], part[width:]), 2 * width
 
 
 def _inside(flags: np.ndarray, size: int) -> np.ndarray:
@@ -124,24 +163,26 @@ def _inside(flags: np.ndarray, size: int) -> np.ndarray:
     return upto[size:] - upto[:-size]
 
 
-def _windows(
-    hashes: np.ndarray, kinds: np.ndarray, folded: np.ndarray, first: np.ndarray, size: int
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
-    """(starts, hashes, kinds, template) of three readings of the windows.
+def _windows(words: Words, size: int, texts: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """(starts, hashes, kinds, template) of three readings of the windows, each inside one text, of the marked texts only.
 
     Templates with enough literal words; the same with the first words of sentences as literals;
     and the words themselves. A reading that is the same as an earlier one is left out.
     """
+    hashes, kinds, first, folded, owner = words.hashes, words.kinds, words.first, words.folded, words.owner
     if len(hashes) < size or not size:
         return
-    at = np.flatnonzero(_inside(kinds == 0, size) >= LITERALS)
+    inside = owner[: len(owner) - size + 1] == owner[size - 1 :]
+    if texts is not None:
+        inside &= texts[owner[: len(inside)]]
+    at = np.flatnonzero(inside & (_inside(kinds == 0, size) >= LITERALS))
     yield at, _rolled(hashes, size)[at], kinds, True
     literal = np.where(first, 0, kinds)
+    slots = _inside(literal != 0, size)
     if first.any():
-        at = np.flatnonzero((_inside(literal == 0, size) >= LITERALS) & (_inside(first, size) > 0))
+        at = np.flatnonzero(inside & (size - slots >= LITERALS) & (_inside(first, size) > 0))
         yield at, _rolled(np.where(first, folded, hashes), size)[at], literal, True
-    slots = _inside(literal != 0, size)
-    at = np.flatnonzero((slots > 0) | (size - slots < LITERALS))
+    at = np.flatnonzero(inside & ((slots > 0) | (size - slots < LITERALS)))
     yield at, _rolled(folded, size)[at], np.zeros_like(kinds), False
 
 
@@ -159,37 +200,43 @@ def _benchmark_windows(items: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
-        for batch, texts in text_batches(batches, "text"):
-            yield from _rows(lexicon, batch.column("id"), texts, None)
+        for batch in batches:
+            yield from _rows(lexicon, batch.column("id"), as_texts(batch.column("text")), None)
 
     return items.mapInArrow(run, _ROW.format(id=items.schema["id"].dataType.simpleString()))
 
 
 def _rows(
-    lexicon: Lexicon, ids: pa.Array, texts: list[bytes | None], wanted: tuple[list[int], np.ndarray] | None
+    lexicon: Lexicon, ids: pa.Array, texts: pa.Array, wanted: tuple[list[int], np.ndarray] | None
 ) -> Iterator[pa.RecordBatch]:
     """Rows for the windows of texts: an item's own size, or for documents those the filter lets through."""
-    source, columns = [], ([], [], [], [], [], [])
-    for number, raw in enumerate(texts):
-        hashes, kinds, numbers, first = lexicon.read((raw or b"").decode("utf-8", "replace"))
-        folded = lexicon.folded[numbers]
-        for size in [min(WINDOW, len(hashes))] if wanted is None else wanted[0]:
-            for starts, found, read, template in _windows(hashes, kinds, folded, first, size):
+    done = 0
+    for block in text_blocks(texts):
+        words = lexicon.read(block)
+        counts = np.bincount(words.owner, minlength=len(block))
+        begins = np.cumsum(counts) - counts
+        own = np.minimum(counts, WINDOW)
+        source, columns = [], ([], [], [], [], [], [])
+        for size in sorted(set(own.tolist())) if wanted is None else wanted[0]:
+            for starts, found, read, template in _windows(words, size, own == size if wanted is None else None):
                 if wanted is not None:
                     hit = may_hold(wanted[1], found)
                     starts, found = starts[hit], found[hit]
-                for at, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True):
-                    slots = [lexicon.values[n] for n, k in zip(numbers[at : at + size], read[at : at + size], strict=True) if k]
+                owners = words.owner[starts]
+                for start, h, number, at in zip(starts.tolist(), found.view(np.int64).tolist(), owners.tolist(), (starts - begins[owners]).tolist(), strict=True):
+                    numbers = words.numbers[start : start + size]
+                    slots = [lexicon.values[n] for n, k in zip(numbers, read[start : start + size], strict=True) if k]
                     filled = xxhash.xxh64_intdigest("\0".join(slots).encode("utf-8", "surrogatepass")) - (1 << 63)
-                    source.append(number)
+                    source.append(done + number)
                     for column, value in zip(columns, (size, at, h, _pattern(slots), filled, template), strict=True):
                         column.append(value)
-    if source:
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(source)), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
-            ["id", "size", "at", "hash", "pattern", "filled", "template"],
-        )
+        done += len(block)
+        if source:
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(source)), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
+                ["id", "size", "at", "hash", "pattern", "filled", "template"],
+            )
 
 
 def _matches(
@@ -215,8 +262,8 @@ def _matches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
-        for batch, texts in text_batches(batches, "text"):
-            yield from _rows(lexicon, batch.column("id"), texts, (sizes, bits.value))
+        for batch in batches:
+            yield from _rows(lexicon, batch.column("id"), as_texts(batch.column("text")), (sizes, bits.value))
 
     found = slim.mapInArrow(run, _ROW.format(id=kind))
     found = staged(found.select("id.id", "id.text_hash", "size", "at", "hash", "pattern", "filled"), "doc-windows")

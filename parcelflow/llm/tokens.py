@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import staged
+from parcelflow.llm.common import as_texts, listed, staged, text_blocks
 from parcelflow.session import new_scratch
 
 END_ID = 1
@@ -33,8 +33,6 @@ END_ID = 1
 NO_ID = -(2**63)
 #: Words that a Python worker remembers the ids of.
 LEXICON = 1_000_000
-#: Bytes of texts that are taken apart at once; a longer text is taken alone.
-BLOCK_BYTES = 16 << 20
 #: Pieces encoded alone: with an apostrophe, the start of a special token, or beyond printable ASCII and Latin-1's letters.
 _ODD = r"'|<\||[^\x21-\x7e\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]"
 #: What stands alone inside a piece: a run of marks, a digit.
@@ -55,12 +53,6 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return upto[offsets[1:]] - upto[offsets[:-1]]
 
 
-def _listed(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
-    """Values of the lists, and offsets into them."""
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    return lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
-
-
 class Encoder:
     """Ids of whole texts, all from the tokenizers library.
 
@@ -110,7 +102,7 @@ class Encoder:
         """(ids, starts, lengths) of distinct pieces."""
         odd = pc.match_substring_regex(pieces, _ODD)
         spaced = pc.replace_substring_regex(pc.if_else(odd, "", pieces), _ALONE, r" \1 ")
-        words, offsets = _listed(pc.ascii_split_whitespace(pc.utf8_lower(spaced)))
+        words, offsets = listed(pc.ascii_split_whitespace(pc.utf8_lower(spaced)))
         coded = words.dictionary_encode()
         numbers = self._words(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         per_word = self.lengths[numbers]
@@ -130,15 +122,10 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For blocks of texts: the ids of all, each with the end id, and where each text begins and the last ends."""
-        texts = pc.fill_null(texts, "")
-        bytes_of = np.cumsum(pc.binary_length(texts).to_numpy())
-        at = 0
-        while at < len(texts):
-            base = bytes_of[at - 1] if at else 0
-            upto = max(at + 1, int(np.searchsorted(bytes_of, base + BLOCK_BYTES, "right")))
+        for block in text_blocks(texts):
             if len(self.numbers) > LEXICON:
                 self.forget()
-            pieces, offsets = _listed(pc.ascii_split_whitespace(texts.slice(at, upto - at)))
+            pieces, offsets = listed(pc.ascii_split_whitespace(block))
             coded = pieces.dictionary_encode()
             held, starts, lengths = self._pieces(coded.dictionary)
             which = coded.indices.to_numpy()
@@ -150,16 +137,6 @@ class Encoder:
             inside[bounds[1:] - 1] = False
             whole[inside] = ids
             yield whole, bounds
-            at = upto
-
-
-def _as_texts(column: pa.Array) -> pa.Array:
-    """The column as valid UTF-8."""
-    try:
-        column.validate(full=True)
-        return column
-    except pa.ArrowInvalid:
-        return pa.array([None if t is None else t.decode("utf-8", "replace") for t in column.cast(pa.binary()).to_pylist()], pa.string())
 
 
 @lru_cache(maxsize=1)
@@ -230,7 +207,7 @@ def write_corpus(
             part = first + (row + np.arange(len(ids))) % (last - first + 1)
             row += len(ids)
             at = 0
-            for whole, ends in encoder.encode(_as_texts(batch.column("text"))):
+            for whole, ends in encoder.encode(as_texts(batch.column("text"))):
                 raw, size, n = memoryview(whole.tobytes()), whole.itemsize, len(ends) - 1
                 cuts = (ends * size).tolist()
                 packed = [packer.compress(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.llm import extract, tokens
+from parcelflow.llm import common, extract, tokens
 from parcelflow.llm.common import table
 from parcelflow.session import new_scratch
 
@@ -91,14 +91,14 @@ def test_pieces_are_encoded_as_whole_texts_are():
 
 
 def test_texts_in_blocks_and_bytes_that_are_no_text(monkeypatch):
-    monkeypatch.setattr(tokens, "BLOCK_BYTES", 40)
+    monkeypatch.setattr(common, "BLOCK_BYTES", 40)
     monkeypatch.setattr(tokens, "LEXICON", 3)
     encoder = tokens.Encoder(_vocabulary(), "<u2")
     texts = pa.array([f"some words of text number {i}, it's {'long ' * i}" for i in range(30)])
     found = [x for ids, bounds in encoder.encode(texts) for x in np.split(ids, bounds[1:-1])]
     assert [x[:-1].tolist() for x in found] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
     broken = pa.Array.from_buffers(pa.string(), 1, pa.array([b"ab\xff c"]).buffers())
-    assert tokens._as_texts(broken).to_pylist() == ["ab\ufffd c"]
+    assert common.as_texts(broken).to_pylist() == ["ab\ufffd c"]
 
 
 def test_rows_of_one_id_are_dealt_over_parts_and_read_by_as_many_tasks(spark):
