@@ -31,31 +31,50 @@ BESIDE = frozenset(
     "comment comments reply replies discussion disqus respond share sharing social related recommended recommendations widget "
     "skip complementary contentinfo".split()
 )
+#: Those of readers' comments, which may well be most of a page.
+COMMENTS = frozenset("comment comments reply replies discussion disqus respond".split())
+#: Share of the body's text from which a part is not beside the article, whatever it is called: by one of the words alone,
+#: and by a name that only holds one (has-sidebar, content-with-ads).
+MOST, HALF = 0.9, 0.5
 #: Least base of the density's logarithm; without links it would be 1.
 LEAST_BASE = 1.05
 _PARTS = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _beside(node: Node, in_article: bool) -> bool:
+def _letters(node: Node) -> int:
+    """Characters of the node's text, without what is never shown."""
+    return sum(
+        len(_SPACE.sub(" ", c).strip()) if isinstance(c, str) else 0 if c.tag in DROPPED else _letters(c) for c in node.children
+    )
+
+
+def _beside(node: Node, in_article: bool, body_letters: int) -> bool:
+    """Whether a node stands beside the article: by its tag, or by its names if it doesn't hold the page's text."""
     if node.tag in DROPPED or "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true":
         return True
-    if node.tag in ("body", "html", "main", "article"):
-        return any(w in ("comment", "comments", "ad", "ads") for w in _named(node)) if node.tag == "article" else False
+    if node.tag in ("body", "html", "main"):
+        return False
     if node.tag == "header" or node.attributes.get("role") == "banner":
         return not in_article
-    return bool(BESIDE.intersection(_named(node)))
-
-
-def _named(node: Node) -> list[str]:
-    return _PARTS.split(" ".join(node.attributes.get(k, "") for k in ("class", "id", "role")).lower())
+    names = " ".join(node.attributes.get(k, "") for k in ("class", "id", "role")).lower().split()
+    if node.tag == "article":
+        return any(w in ("comment", "comments", "ad", "ads") for n in names for w in _PARTS.split(n))
+    parts = {w for n in names for w in _PARTS.split(n)}
+    if not BESIDE.intersection(parts):
+        return False
+    if COMMENTS.intersection(names):
+        return True
+    share = _letters(node) / max(1, body_letters)
+    return share < (MOST if BESIDE.intersection(names) else HALF)
 
 
 class Measured:
     """A node without what stands beside the article, and its counts: characters, tags, and those in links."""
 
-    def __init__(self, node: Node, parent: Measured | None, in_link: bool = False, in_article: bool = False):
+    def __init__(self, node: Node, parent: Measured | None, in_link: bool = False, in_article: bool = False, letters: int | None = None):
         self.node, self.parent = node, parent
+        letters = _letters(node) if letters is None else letters
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.children: list[Measured | str] = []
         link = in_link or node.tag == "a"
@@ -66,8 +85,8 @@ class Measured:
                 self.chars += n
                 self.link_chars += n * link
                 self.children.append(child)
-            elif not _beside(child, inside):
-                part = Measured(child, self, link, inside)
+            elif not _beside(child, inside, letters):
+                part = Measured(child, self, link, inside, letters)
                 self.chars += part.chars
                 self.link_chars += part.link_chars
                 self.tags += part.tags + 1

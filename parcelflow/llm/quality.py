@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm.common import id_remainder
 from parcelflow.llm.rules import RuleEnsemble, fit
-from parcelflow.llm.text_stats import NAMES, with_statistics
+from parcelflow.llm.text_stats import COLUMNS, with_statistics
 
 #: Rows whose crc32(doc_id) mod FOLDS is 0 are held out of learning.
 FOLDS = 5
@@ -30,14 +30,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
         F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))
     )
-    # Ids are chosen before their texts are joined; the order is by hash, so the sample is random.
+    # Ids are chosen before their texts are joined; the order is by hash, so the sample is random. At most sample_rows
+    # ids are broadcast, so no text is shuffled for them.
     chosen = known.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit")), "doc_id", "quality").limit(sample_rows)
-    labelled = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(chosen, "doc_id")
+    labelled = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(chosen), "doc_id")
     # An id may stand in many rows of docs, so the bound holds once more, for rows that differ.
     rows = with_statistics(labelled, ["doc_id", "text_hash", "quality"]).dropDuplicates(["doc_id", "text_hash", "quality"])
     order = [F.xxhash64(F.col("doc_id").cast("string"), "text_hash", F.lit("fit")), "doc_id", "text_hash", "quality"]
     rows = rows.orderBy(*order).limit(sample_rows).toPandas()
-    return fit(rows[list(NAMES)].to_numpy(np.float64), rows["quality"].to_numpy(np.float64), NAMES, **options)
+    return fit(rows[list(COLUMNS)].to_numpy(np.float64), rows["quality"].to_numpy(np.float64), COLUMNS, **options)
 
 
 def scored(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
@@ -53,9 +54,9 @@ def scored(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
-    """Rows of docs with a score of at least the threshold, all columns."""
-    columns = docs.columns
-    stats = with_statistics(docs.withColumn("_whole_text", F.col("text")), columns, "_whole_text")
-    renamed = RuleEnsemble(model.intercept, model.rules, tuple(f"_stat_{n}" for n in NAMES))
-    stats = stats.toDF(*columns, *[f"_stat_{n}" for n in NAMES])
-    return stats.where(renamed.column() >= THRESHOLD).select(*[F.col(f"`{c}`") for c in columns])
+    """Rows of docs with a score of at least the threshold, all columns.
+
+    Null and empty texts are judged by their (zero) statistics, null ids and other nulls like any row; repeated rows
+    stay or go together. Columns may have the names of statistics. An empty table gives none.
+    """
+    return with_statistics(docs, docs.columns).where(model.column() >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -218,8 +218,17 @@ def _narrowed(rows: DataFrame, cells: list[Cell], brackets: dict[int, dict]) ->
 
 
 def sharded(docs: DataFrame, tree: KdTree, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the columns law and shard; no row moves."""
-    return docs.withColumns({"law": F.lit(LAW), "shard": tree.shard(id_col, text_col)})
+    """docs with the columns law and shard; no row moves.
+
+    Where docs has such a column already (in any case of letters), the new one gets a `_` behind its name, and the old
+    one stays as it is. Nulls in any column, empty texts and repeated rows have a shard like all others. An empty table gives none.
+    """
+    taken = {c.lower() for c in docs.columns}
+
+    def free(name: str) -> str:
+        return name if name not in taken else free(name + "_")
+
+    return docs.withColumns({free("law"): F.lit(LAW), free("shard"): tree.shard(id_col, text_col)})
 
 
 def shard_rows(docs: DataFrame, shards: int, **options) -> DataFrame:

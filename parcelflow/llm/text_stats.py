@@ -53,16 +53,22 @@ def statistics(text: bytes | None) -> tuple[float, ...]:
     )
 
 
+#: Columns of the statistics.
+COLUMNS = tuple(f"_stat_{n}" for n in NAMES)
+
+
 def with_statistics(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """The key columns and the statistics of the text, one row per row; other columns are not read."""
-    slim = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{text_col}`").alias("_text"))
+    """The key columns and the statistics of the text, one row per row; other columns are not read.
+
+    Inside, columns go by their place, so a key may have any name, also that of a statistic.
+    """
+    places = [f"k{i}" for i in range(len(keys))]
+    slim = docs.select(*[F.col(f"`{k}`").alias(p) for k, p in zip(keys, places, strict=True)], F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_batches(batches, "_text"):
+        for batch, texts in text_batches(batches, "text"):
             found = np.array([statistics(t) for t in texts], dtype=np.float64).reshape(len(texts), len(NAMES))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(keys))] + [pa.array(c) for c in found.T], [*keys, *NAMES]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(places)], *[pa.array(c) for c in found.T]], [*places, *COLUMNS])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]]
-    return slim.mapInArrow(run, ", ".join(fields + [f"{n} double" for n in NAMES]))
+    return slim.mapInArrow(run, ", ".join(fields + [f"{n} double" for n in COLUMNS])).toDF(*keys, *COLUMNS)

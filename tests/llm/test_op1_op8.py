@@ -39,8 +39,10 @@ def test_copies_do_not_unbalance_shards(spark):
 def test_odd_rows_are_sharded(odd_docs, no_docs):
     _check_shards(sharding.shard_rows(odd_docs, 3).collect(), odd_docs.select("doc_id", "text").collect(), 3)
     assert sharding.shard_rows(no_docs, 8).count() == 0
-    placed = sharding.sharded(odd_docs.drop("shard"), sharding.build_tree(odd_docs, target_bytes=100_000))
+    placed = sharding.sharded(odd_docs, sharding.build_tree(odd_docs, target_bytes=100_000))
     assert placed.count() == odd_docs.count()
+    # A column of the documents' own stays as it is.
+    assert {r.shard for r in placed.collect()} == {"t"} and placed.columns[-2:] == ["law", "shard_"]
 
 
 def test_mixture_equals_sql(spark, sf_dir):

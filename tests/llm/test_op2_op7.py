@@ -48,6 +48,26 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     assert quality.scored(no_docs, model).count() == 0
 
 
+def test_columns_named_like_statistics_pass_the_filter(spark):
+    docs = table(spark, LARGER, "documents")
+    model = quality.learn(docs, table(spark, LARGER, "labels"))
+    odd = docs
+    for name in ("upper", "digits", "spaces", "commas", "marks", "k0", "log_chars"):
+        odd = odd.withColumn(name, docs["source"])
+    kept = quality.accepted(odd, model)
+    assert kept.columns == odd.columns and kept.where("upper = source AND k0 = source").count() == quality.accepted(docs, model).count()
+
+
+def test_no_text_is_shuffled_for_the_fit(spark, sf_dir, monkeypatch):
+    from parcelflow.llm import text_stats
+
+    seen = []
+    monkeypatch.setattr(quality, "with_statistics", lambda df, keys: seen.append(df) or text_stats.with_statistics(df, keys))
+    quality.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_language_of_held_out_rows(spark):
     docs = table(spark, LARGER, "documents")
     rows = language.predicted(docs, language.learn(docs)).collect()

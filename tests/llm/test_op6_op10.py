@@ -42,6 +42,22 @@ def test_small_pages(page, want):
     assert extract.main_text(page) == want
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-with-ads", "menu-page", "cookie-recipe", "promo"])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_layout_names_round_the_whole_text_cost_nothing(name, inner):
+    page = (
+        f"<body><nav><a href='/'>Home</a></nav><div class='{name}'><{inner}><p>A first paragraph of some length, with words.</p>"
+        f"<p>And a second one, which is about as long.</p></{inner}></div><div class='{name}'>Buy this.</div><footer>f</footer></body>"
+    )
+    assert extract.main_text(page) == "A first paragraph of some length, with words.\nAnd a second one, which is about as long."
+
+
+def test_long_reader_comments_are_left_out():
+    said = "".join(f"<p>Reader {i} says a lot about this and that.</p>" for i in range(40))
+    page = f"<body><div><p>The short article itself, two sentences.</p><p>Here they are.</p></div><div class='comments'>{said}</div></body>"
+    assert extract.main_text(page) == "The short article itself, two sentences.\nHere they are."
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "<p>x</p>" * 20_000), (2, "u", "<div>" * 3000 + "deep"), (3, "u", "<p>x")]
     got = extract.extracted(spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")).collect()
