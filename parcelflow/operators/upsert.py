@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.sources.warehouse import DAY, Warehouse, in_partitions
+from parcelflow.sources.warehouse import ARRIVED, DAY, Warehouse, in_partitions
 
 # A rule gives the new value of one column from (target, source) column accessors.
 Accessor = Callable[[str], Column]
@@ -108,7 +108,13 @@ def upsert(
     stored = warehouse.stored(table)
 
     touched = fresh.select(*parts)
-    if not key_fixes_partition:
+    if key_fixes_partition and ARRIVED in parts:
+        # A match has the same day and type, but may have arrived on any day; a scan of partition columns finds it.
+        fixed = [c for c in parts if c != ARRIVED]
+        days = fresh.select(*[F.col(c).alias(f"_sought_{c}") for c in fixed]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_sought_{c}")) for c in fixed]
+        touched = touched.unionByName(stored.select(*parts).distinct().join(days, same, "left_semi"))
+    elif not key_fixes_partition:
         sought = fresh.select(*[F.col(k).alias(f"_sought_{k}") for k in keys])
         same = [F.col(k).eqNullSafe(F.col(f"_sought_{k}")) for k in keys]
         matched = stored.select(*dict.fromkeys([*keys, *parts])).join(sought, same, "left_semi")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +25,14 @@ from parcelflow.operators.upsert import (
     latest,
     upsert,
 )
+from parcelflow.plans.inventory import roll_inventory
 from parcelflow.plans.silver import CLEAN_TABLES
+from parcelflow.sources.arrivals import arrivals
 from parcelflow.sources.warehouse import Warehouse, create_fact_tables
 
+# The events that end an attempt, and the one that brings its cash.
+ATTEMPT_TYPES, COLLECTED = ("delivered", "failed_delivery"), "cod_collected"
+
 # Milestone column -> normalised type and whether the first or last time counts.
 MILESTONES = {
     "created_at": ("ORDER_CREATED", F.min),
@@ -180,7 +187,7 @@ def fact_delivery_attempt(tracking: DataFrame, financial: DataFrame | None) -> D
     """One row per shipment and attempt, with the cash collected on it."""
     keys = ["shipment_id", "attempt_no"]
     order = ["event_time", "kafka_partition", "kafka_offset"]
-    tried = tracking.filter(F.col("event_type").isin("delivered", "failed_delivery"))
+    tried = tracking.filter(F.col("event_type").isin(*ATTEMPT_TYPES))
     attempts = first_per_key(tried, keys, order).select(
         *keys,
         "shipper_id",
@@ -195,7 +202,7 @@ def fact_delivery_attempt(tracking: DataFrame, financial: DataFrame | None) -> D
         cash = attempts.withColumn("cod_collected_vnd", F.lit(0))
     else:
         collected = first_per_key(
-            financial.filter("event_type = 'cod_collected'"), keys, order
+            financial.filter(F.col("event_type") == COLLECTED), keys, order
         ).select(*keys, F.col("cod_amount_vnd").alias("cod_collected_vnd"))
         cash = attempts.join(collected, keys, "left").fillna(0, ["cod_collected_vnd"])
     return _typed(cash, model.FACT_ATTEMPT)
@@ -235,13 +242,11 @@ def fact_financial_transaction(financial: DataFrame) -> DataFrame:
     return _typed(unique, model.FACT_FINANCIAL)
 
 
-def net_presence(tracking: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """Arrivals minus departures per facility and shipment, on top of an earlier result."""
+def net_presence(tracking: DataFrame) -> DataFrame:
+    """Arrivals minus departures per facility and shipment."""
     moves = tracking.select(
         "facility_id", "shipment_id", movement(F.col("event_type")).cast("bigint").alias("net")
     ).filter("net <> 0")
-    if before is not None:
-        moves = moves.unionByName(before.select("facility_id", "shipment_id", "net"))
     return moves.groupBy("facility_id", "shipment_id").agg(F.sum("net").alias("net"))
 
 
@@ -267,37 +272,6 @@ def fact_hub_inventory(
     return _typed(out, model.FACT_INVENTORY)
 
 
-PRESENCE_TABLE = "facility_presence"
-
-
-def _presence_at(warehouse: Warehouse, start, end, roll_forward: bool) -> DataFrame | None:
-    """Net presence at ``end``: from the whole history, or from the stored one at ``start``.
-
-    Rolling forward reads one window instead of all time; it needs windows run in order
-    and misses events that turn up after their own window.
-    """
-    clean = CLEAN_TABLES[TRACKING]
-    stored = roll_forward and warehouse.exists(PRESENCE_TABLE)
-    before = None
-    if stored:
-        before = warehouse.stored(PRESENCE_TABLE).filter(F.col("as_of") == F.lit(str(start)))
-        stored = not before.isEmpty()
-    moves = warehouse.read_window(clean, start if stored else None, end)
-    if moves is None:
-        return None
-    presence = net_presence(moves, before if stored else None)
-    if not roll_forward:
-        return presence
-    rows = presence.filter("net <> 0").withColumn("as_of", F.lit(str(end)))
-    if not warehouse.exists(PRESENCE_TABLE):
-        warehouse.like(rows, PRESENCE_TABLE, None, by=["as_of"])
-    staged = f"{PRESENCE_TABLE}__next"
-    warehouse.replace(staged, rows)
-    warehouse.overwrite_partitions(warehouse.stored(staged), PRESENCE_TABLE)
-    warehouse.drop(staged)
-    return warehouse.stored(PRESENCE_TABLE).filter(F.col("as_of") == F.lit(str(end)))
-
-
 def build_gold(
     warehouse: Warehouse,
     dims: Mapping[str, DataFrame],
@@ -305,7 +279,11 @@ def build_gold(
     end,
     roll_forward: bool = False,
 ) -> None:
-    """All facts of [start, end). Running a window again gives the same tables."""
+    """All facts of [start, end). Running a window again gives the same tables.
+
+    ``roll_forward`` corrects the inventory by the tracking rows that silver took in since the last
+    run, late ones too; without it the inventory at ``end`` is counted from all history.
+    """
     create_fact_tables(warehouse)
     shipment = warehouse.read_window(CLEAN_TABLES[SHIPMENT], start, end)
     tracking = warehouse.read_window(CLEAN_TABLES[TRACKING], start, end)
@@ -343,13 +321,89 @@ def build_gold(
             ["event_id"],
             "transaction_ts",
         )
-    presence = _presence_at(warehouse, start, end, roll_forward)
-    if presence is not None:
+    if roll_forward:
+        with arrivals(warehouse, "inventory", CLEAN_TABLES[TRACKING], "silver_loaded_at") as taken:
+            if taken.rows is not None:
+                roll_inventory(warehouse, dims, taken.rows, end, taken.run)
+        return
+    moves = warehouse.read_window(CLEAN_TABLES[TRACKING], None, end)
+    if moves is not None:
         upsert(
             warehouse,
-            fact_hub_inventory(presence, dims, end),
+            fact_hub_inventory(net_presence(moves), dims, end),
             "fact_hub_inventory",
             ["facility_id", "snapshot_ts"],
             "snapshot_ts",
             key_fixes_partition=True,
         )
+
+
+# Fact table -> the topics whose arrivals change it.
+FACT_TOPICS = {
+    "fact_shipment": (SHIPMENT, TRACKING),
+    "fact_shipment_route": (SHIPMENT, TRACKING),
+    "fact_delivery_attempt": (TRACKING, FINANCIAL),
+    "fact_financial_transaction": (FINANCIAL,),
+    "fact_hub_inventory": (TRACKING,),
+}
+
+
+def build_gold_arrivals(
+    warehouse: Warehouse, dims: Mapping[str, DataFrame], snapshot, only=tuple(FACT_TOPICS), **options
+) -> None:
+    """Facts from the cleaned rows that arrived since each was last built, and an inventory at ``snapshot``.
+
+    However late a row is, its fact ends as if all rows had been there from the start: shipments and
+    attempts are made anew from all cleaned rows of the shipments that arrivals touch, events from
+    those of their ids, since what fills a gap first must not depend on the order of arrival. ``options`` are those of ``arrivals``.
+    """
+    create_fact_tables(warehouse)
+    for fact in only:
+        with ExitStack() as reading:
+            taken = {
+                topic: reading.enter_context(arrivals(warehouse, fact, CLEAN_TABLES[topic], "silver_loaded_at", **options))
+                for topic in FACT_TOPICS[fact]
+            }
+            arrived = {topic: t.rows for topic, t in taken.items() if t.rows is not None}
+            if not arrived:
+                continue
+            if fact == "fact_hub_inventory":
+                roll_inventory(warehouse, dims, arrived[TRACKING], snapshot, taken[TRACKING].run)
+            else:
+                _upsert_arrived(warehouse, fact, arrived)
+
+
+def _upsert_arrived(warehouse: Warehouse, fact: str, arrived: Mapping[str, DataFrame]) -> None:
+    if fact == "fact_shipment":
+        whole = _of_touched(warehouse, arrived, FACT_TOPICS[fact])
+        rows, keys, ts = fact_shipment(whole.get(SHIPMENT), whole.get(TRACKING)), ["shipment_id"], "created_at"
+    elif fact == "fact_shipment_route":
+        # Events of two types may share an id; the first of all of them counts.
+        whole = _of_touched(warehouse, arrived, FACT_TOPICS[fact], key="event_id")
+        rows, keys, ts = fact_shipment_route(whole.get(SHIPMENT), whole.get(TRACKING)), ["event_id"], "event_time"
+    elif fact == "fact_financial_transaction":
+        whole = _of_touched(warehouse, arrived, FACT_TOPICS[fact], key="event_id")
+        rows, keys, ts = fact_financial_transaction(whole[FINANCIAL]), ["event_id"], "transaction_ts"
+    else:
+        kinds = {TRACKING: ATTEMPT_TYPES, FINANCIAL: (COLLECTED,)}
+        whole = _of_touched(warehouse, arrived, FACT_TOPICS[fact], kinds=kinds)
+        if TRACKING not in whole:
+            return
+        rows, keys, ts = fact_delivery_attempt(whole[TRACKING], whole.get(FINANCIAL)), ["shipment_id", "attempt_no"], "attempt_ts"
+    upsert(warehouse, rows, fact, keys, ts)
+
+
+def _of_touched(
+    warehouse: Warehouse, arrived: Mapping[str, DataFrame], topics: Sequence[str], key: str = "shipment_id",
+    kinds: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, DataFrame]:
+    """All cleaned rows, per topic, of the shipments (or other keys) with an arrival; of some event types only if told so."""
+
+    def some(topic: str, rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col("event_type").isin(*kinds[topic])) if kinds else rows
+
+    ids = reduce(DataFrame.unionByName, [some(t, rows).select(key) for t, rows in arrived.items()]).distinct()
+    return {
+        topic: some(topic, warehouse.read(CLEAN_TABLES[topic])).join(ids, key, "left_semi")
+        for topic in topics if warehouse.exists(CLEAN_TABLES[topic])
+    }

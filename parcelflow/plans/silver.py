@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from parcelflow.functions.quality import split_by_quality
 from parcelflow.model import FINANCIAL, SHIPMENT, TOPICS, TRACKING, event_types
 from parcelflow.operators.dedup import first_per_key
-from parcelflow.operators.upsert import upsert
+from parcelflow.operators.upsert import Rule, upsert
 from parcelflow.plans.enrich import enrich_cleaned
 from parcelflow.plans.expectations import expectation_results, write_results
-from parcelflow.sources.warehouse import RAW_TABLES, Warehouse
+from parcelflow.sources.arrivals import arrivals
+from parcelflow.sources.warehouse import ARRIVED, RAW_TABLES, Warehouse
 
 CLEAN_TABLES = {
     SHIPMENT: "silver_shipment",
@@ -53,7 +54,7 @@ def build_silver(
     results_path: str | None = None,
     fixed_event_time: bool = False,
 ) -> None:
-    """One run over [start, end). All event types of a topic go through one job.
+    """One run over the event times of [start, end). All event types of a topic go through one job.
 
     ``fixed_event_time`` promises that a repeated event id comes with the time it had
     before; only the days of the run are then searched for matches.
@@ -62,25 +63,62 @@ def build_silver(
         raw = warehouse.read_window(RAW_TABLES[topic], start, end)
         if raw is None or raw.isEmpty():
             continue
-        if results_path:
-            write_results(expectation_results(raw, topic), results_path, str(end))
-        passed, rejected = cleaned(raw, topic, dims)
-        upsert(
-            warehouse,
-            passed,
-            CLEAN_TABLES[topic],
-            EVENT_KEY,
-            "event_time",
-            by=["event_type"],
-            key_fixes_partition=fixed_event_time,
-        )
-        _keep_rejected(warehouse, rejected, topic, end)
-
-
-def _keep_rejected(warehouse: Warehouse, rejected: DataFrame, topic: str, end) -> None:
+        _take_in(warehouse, dims, raw, topic, str(end), results_path, fixed_event_time)
+
+
+def build_silver_arrivals(
+    warehouse: Warehouse,
+    dims: Mapping[str, DataFrame],
+    results_path: str | None = None,
+    fixed_event_time: bool = False,
+    stamp: Column | None = None,
+    **options,
+) -> None:
+    """One run over the raw rows that arrived since the last: none is missed for a late or unreadable event time.
+
+    Rows without a time end among the rejected. ``stamp`` is what silver_loaded_at says, the run's
+    own time by default; ``options`` are those of ``arrivals``.
+    """
+    for topic in TOPICS:
+        with arrivals(warehouse, "silver", RAW_TABLES[topic], "ingest_time", **options) as taken:
+            if taken.rows is not None:
+                _take_in(warehouse, dims, taken.rows, topic, taken.run, results_path, fixed_event_time, stamp, _earliest)
+
+
+def _earliest(name: str) -> Rule:
+    """Of two rows of an event the one that comes first in order of time, whichever arrived first."""
+
+    def rule(stored, incoming):
+        order = lambda side: F.struct(*[side(c) for c in ARRIVAL_ORDER])
+        return F.when(order(incoming) < order(stored), incoming(name)).otherwise(stored(name))
+
+    return rule
+
+
+def _take_in(
+    warehouse, dims, raw, topic, run, results_path, fixed_event_time, stamp: Column | None = None, rule: Callable[[str], Rule] | None = None
+) -> None:
+    if results_path:
+        write_results(expectation_results(raw, topic), results_path, run)
+    passed, rejected = cleaned(raw, topic, dims, stamp)
+    passed = passed.withColumn(ARRIVED, warehouse.day_of(F.col("silver_loaded_at")))
+    upsert(
+        warehouse,
+        passed,
+        CLEAN_TABLES[topic],
+        EVENT_KEY,
+        "event_time",
+        {c: rule(c) for c in passed.columns if c not in EVENT_KEY} if rule else None,
+        by=["event_type", ARRIVED],
+        key_fixes_partition=fixed_event_time,
+    )
+    _keep_rejected(warehouse, rejected, topic, run)
+
+
+def _keep_rejected(warehouse: Warehouse, rejected: DataFrame, topic: str, run: str) -> None:
     """Store the rows set aside, one partition per run so that a repeat replaces it."""
     table = REJECTED_TABLES[topic]
-    stamped = rejected.withColumn("run_end", F.lit(str(end)))
+    stamped = rejected.withColumn("run_end", F.lit(run))
     if not warehouse.exists(table):
         warehouse.like(stamped, table, None, by=["run_end"])
     warehouse.overwrite_partitions(stamped, table)

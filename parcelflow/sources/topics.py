@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelflow.model import topic_schema
 from parcelflow.settings import StreamSettings
 
+_CORRUPT = "_corrupt"
+
 
 def kafka_topic(
     spark: SparkSession, bootstrap: str, topic: str, settings: StreamSettings | None = None
@@ -48,8 +51,14 @@ def file_topic(
 
 
 def decode(raw: DataFrame, topic: str) -> DataFrame:
-    """JSON text -> typed columns. Unreadable text or fields become null, and so invalid."""
-    event = F.from_json("raw_value", topic_schema(topic)).alias("event")
-    return raw.select("kafka_partition", "kafka_offset", event).select(
-        "event.*", "kafka_partition", "kafka_offset", F.current_timestamp().alias("ingest_time")
-    )
+    """JSON text -> typed columns, with the text itself and whether all of it could be read.
+
+    Unreadable fields become null, and so perhaps invalid; a text that is no JSON object is null throughout.
+    """
+    schema = T.StructType([*topic_schema(topic), T.StructField(_CORRUPT, T.StringType())])
+    event = F.from_json("raw_value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("event")
+    return raw.select("kafka_partition", "kafka_offset", "raw_value", event).select(
+        "event.*", "kafka_partition", "kafka_offset", F.current_timestamp().alias("ingest_time"), "raw_value",
+        # Spark gives no object at all for an empty text.
+        (F.col(f"event.{_CORRUPT}").isNotNull() | F.col("event").isNull()).alias("unreadable"),
+    ).drop(_CORRUPT)

@@ -18,6 +18,8 @@ from parcelflow import model
 from parcelflow.functions.dates import as_timestamp
 
 DAY = "day"
+#: Partition of raw and cleaned tables by the day of arrival.
+ARRIVED = "arrived_day"
 
 # Fact table -> columns and time column.
 FACT_TABLES = {
@@ -95,17 +97,22 @@ class Warehouse:
     def with_day(self, df: DataFrame, ts: str | None) -> DataFrame:
         if ts is None or self.native_merge:
             return df
-        return df.withColumn(DAY, self._day(F.col(ts)))
+        return df.withColumn(DAY, self.day_of(F.col(ts)))
 
-    def _day(self, at: Column) -> Column:
+    def day_of(self, at: Column) -> Column:
+        """Partition of a time: its day, or the first of its grain."""
         return F.to_date(at if self.grain == "day" else F.date_trunc(self.grain, at))
 
     def stored(self, table: str) -> DataFrame:
         """The table with its partition column."""
         return self.spark.table(self.name(table))
 
+    def without_partition_columns(self, df: DataFrame) -> DataFrame:
+        """The frame without the columns that only place its rows."""
+        return df.drop(DAY, ARRIVED)
+
     def read(self, table: str) -> DataFrame:
-        return self.stored(table).drop(DAY)
+        return self.without_partition_columns(self.stored(table))
 
     def read_window(self, table: str, start=None, end=None, ts: str = "event_time") -> DataFrame | None:
         """Rows with start <= ts < end, an open side reading all; None without the table.
@@ -119,12 +126,12 @@ class Warehouse:
         if start is not None:
             bound = as_timestamp(start)
             df = df.filter(F.col(ts) >= bound)
-            df = df.filter(F.col(DAY) >= self._day(bound)) if daily else df
+            df = df.filter(F.col(DAY) >= self.day_of(bound)) if daily else df
         if end is not None:
             bound = as_timestamp(end)
             df = df.filter(F.col(ts) < bound)
-            df = df.filter(F.col(DAY) <= self._day(bound)) if daily else df
-        return df.drop(DAY)
+            df = df.filter(F.col(DAY) <= self.day_of(bound)) if daily else df
+        return self.without_partition_columns(df)
 
     def _in_table_order(self, df: DataFrame, table: str) -> DataFrame:
         return df.select(*self.stored(table).columns)
@@ -180,9 +187,10 @@ def in_partitions(columns: Sequence[str], rows: Sequence[Sequence]) -> Column:
 
 
 def create_raw_tables(warehouse: Warehouse) -> None:
-    """One raw table per topic, partitioned by event type and day."""
+    """One raw table per topic, partitioned by event type, day of arrival and day."""
     for topic, table in RAW_TABLES.items():
-        warehouse.create(table, model.raw_schema(topic), "event_time", by=["event_type"])
+        schema = T.StructType([*model.raw_schema(topic), T.StructField(ARRIVED, T.DateType())])
+        warehouse.create(table, schema, "event_time", by=["event_type", ARRIVED])
 
 
 def raw_events(warehouse: Warehouse, topic: str, event_type: str) -> DataFrame:

@@ -19,6 +19,7 @@ from parcelflow.streaming.progress import ProgressLog
 from parcelflow.streaming.sinks import (
     Append,
     batch_name,
+    create_dead_letters,
     kpi_writer,
     progress_writer,
     raw_writer,
@@ -43,8 +44,9 @@ def _start(df: DataFrame, name: str, mode: str, writer, checkpoint: str, setting
 
 
 def start_raw(parsed, topic, warehouse, checkpoint, settings) -> StreamingQuery:
-    writer = raw_writer(warehouse, topic)
-    return _start(parsed, f"raw_{short(topic)}", "append", writer, checkpoint, settings)
+    query = f"raw_{short(topic)}"
+    writer = raw_writer(warehouse, topic, partial(batch_name, checkpoint, query))
+    return _start(parsed, query, "append", writer, checkpoint, settings)
 
 
 def start_partial_kpis(parsed, topic, append: Append, checkpoint, settings) -> StreamingQuery:
@@ -94,6 +96,7 @@ def start_all(
     """All queries: raw and KPI per topic, and the tracker; and the log of their progress."""
     settings = settings or StreamSettings()
     create_raw_tables(warehouse)
+    create_dead_letters(warehouse)
     log = ProgressLog(warehouse.spark, progress_writer(append, uuid.uuid4().hex[:12]))
     warehouse.spark.streams.addListener(log)
     started = []

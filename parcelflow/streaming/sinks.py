@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from parcelflow.functions.measures import fill_unknown
 from parcelflow.model import ENVELOPE, TRANSPORT, columns_of, event_types, raw_columns
 from parcelflow.plans.kpis import Kpi, compute_kpi
-from parcelflow.sources.warehouse import RAW_TABLES, Warehouse
+from parcelflow.sources.warehouse import ARRIVED, RAW_TABLES, Warehouse
 from parcelflow.streaming.tracker import alert_rows, journey_rows
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -26,6 +26,7 @@ Append = Callable[[DataFrame, str, str], None]
 
 BATCH = "source_batch"
 PROGRESS_TABLE = "streaming_query_progress"
+DEAD_TABLE = "dead_letters"
 
 
 def batch_name(checkpoint: str, query: str, batch_id: int) -> str:
@@ -94,13 +95,47 @@ def _only_own_columns(df: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def raw_writer(warehouse: Warehouse, topic: str) -> BatchWriter:
-    """Every event of a batch to the partition of its type and day, in one write."""
+def dead_rows(batch: DataFrame, topic: str) -> DataFrame:
+    """(topic, reason, raw_value, kafka_partition, kafka_offset, ingest_time) of rows that no raw table of the topic can hold.
+
+    UNREADABLE: no event type could be read from the text; NO_TYPE: it has none; UNKNOWN_TYPE: it isn't one of the topic.
+    """
+    kind = F.col("event_type")
+    # A batch that was not decoded here has no text; its columns say the same.
+    text = F.col("raw_value") if "raw_value" in batch.columns else F.to_json(F.struct("*"))
+    unreadable = F.col("unreadable") if "unreadable" in batch.columns else F.lit(False)
+    reason = F.when(kind.isNotNull(), "UNKNOWN_TYPE").when(unreadable, "UNREADABLE").otherwise("NO_TYPE")
+    odd = batch.filter(kind.isNull() | ~kind.isin(event_types(topic)))
+    return odd.select(
+        F.lit(topic).alias("topic"), reason.alias("reason"), text.alias("raw_value"), "kafka_partition", "kafka_offset", "ingest_time"
+    )
+
+
+def create_dead_letters(warehouse: Warehouse) -> None:
+    """One table for all topics; each writes partitions of its own."""
+    columns = "reason string, raw_value string, kafka_partition int, kafka_offset bigint, ingest_time timestamp"
+    warehouse.create(DEAD_TABLE, f"{columns}, topic string, {BATCH} string", None, by=["topic", BATCH])
+
+
+def raw_writer(warehouse: Warehouse, topic: str, name: Callable[[int], str] = str) -> BatchWriter:
+    """Every event of a batch to the partition of its type, arrival and day, in one write; the others to the dead letters.
+
+    Raw rows may be written again with a batch that is run again; dead letters are replaced.
+    """
     table = RAW_TABLES[topic]
+    create_dead_letters(warehouse)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = batch.filter(F.col("event_type").isin(event_types(topic)))
-        warehouse.append(_only_own_columns(known, topic), table, "event_time")
+        batch = batch.withColumn("ingest_time", F.coalesce("ingest_time", F.current_timestamp()))
+        batch.persist()
+        try:
+            known = batch.filter(F.col("event_type").isin(event_types(topic)))
+            placed = _only_own_columns(known, topic).withColumn(ARRIVED, warehouse.day_of(F.col("ingest_time")))
+            warehouse.append(placed, table, "event_time")
+            dead = dead_rows(batch, topic).withColumn(BATCH, F.lit(name(batch_id)))
+            warehouse.overwrite_partitions(dead, DEAD_TABLE)
+        finally:
+            batch.unpersist()
 
     return write
 
