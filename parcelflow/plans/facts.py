@@ -27,7 +27,7 @@ from parcelflow.operators.upsert import (
 )
 from parcelflow.plans.inventory import roll_inventory
 from parcelflow.plans.silver import CLEAN_TABLES
-from parcelflow.sources.arrivals import arrivals
+from parcelflow.sources.arrivals import Arrivals, arrivals
 from parcelflow.sources.warehouse import Warehouse, create_fact_tables
 
 # The events that end an attempt, and the one that brings its cash.
@@ -242,11 +242,13 @@ def fact_financial_transaction(financial: DataFrame) -> DataFrame:
     return _typed(unique, model.FACT_FINANCIAL)
 
 
-def net_presence(tracking: DataFrame) -> DataFrame:
-    """Arrivals minus departures per facility and shipment."""
+def net_presence(tracking: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Arrivals minus departures per facility and shipment, on top of an earlier result."""
     moves = tracking.select(
         "facility_id", "shipment_id", movement(F.col("event_type")).cast("bigint").alias("net")
     ).filter("net <> 0")
+    if before is not None:
+        moves = moves.unionByName(before.select("facility_id", "shipment_id", "net"))
     return moves.groupBy("facility_id", "shipment_id").agg(F.sum("net").alias("net"))
 
 
@@ -322,9 +324,9 @@ def build_gold(
             "transaction_ts",
         )
     if roll_forward:
-        with arrivals(warehouse, "inventory", CLEAN_TABLES[TRACKING], "silver_loaded_at") as taken:
-            if taken.rows is not None:
-                roll_inventory(warehouse, dims, taken.rows, end, taken.run)
+        # Silver has ended its run, so all rows with its stamp are there.
+        with arrivals(warehouse, "inventory", CLEAN_TABLES[TRACKING], "silver_loaded_at", settle_s=0) as taken:
+            _roll(warehouse, dims, taken, end)
         return
     moves = warehouse.read_window(CLEAN_TABLES[TRACKING], None, end)
     if moves is not None:
@@ -365,14 +367,22 @@ def build_gold_arrivals(
                 for topic in FACT_TOPICS[fact]
             }
             arrived = {topic: t.rows for topic, t in taken.items() if t.rows is not None}
-            if not arrived:
-                continue
             if fact == "fact_hub_inventory":
-                roll_inventory(warehouse, dims, arrived[TRACKING], snapshot, taken[TRACKING].run)
-            else:
+                _roll(warehouse, dims, taken[TRACKING], snapshot)
+            elif arrived:
                 _upsert_arrived(warehouse, fact, arrived)
 
 
+def _roll(warehouse: Warehouse, dims: Mapping[str, DataFrame], taken: Arrivals, snapshot) -> None:
+    """A snapshot is due also where nothing has arrived."""
+    if not warehouse.exists(CLEAN_TABLES[TRACKING]):
+        return
+    if taken.rows is None:
+        roll_inventory(warehouse, dims, warehouse.read(CLEAN_TABLES[TRACKING]).limit(0), snapshot, f"none at {snapshot}")
+    else:
+        roll_inventory(warehouse, dims, taken.rows, snapshot, taken.run)
+
+
 def _upsert_arrived(warehouse: Warehouse, fact: str, arrived: Mapping[str, DataFrame]) -> None:
     if fact == "fact_shipment":
         whole = _of_touched(warehouse, arrived, FACT_TOPICS[fact])
