@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelflow.operators.keyindex import KeyIndex
 from parcelflow.sources.warehouse import ARRIVED, DAY, Warehouse, in_partitions
 
 # A rule gives the new value of one column from (target, source) column accessors.
@@ -87,12 +88,15 @@ def upsert(
     rules: Mapping[str, Rule] | None = None,
     by: Sequence[str] = (),
     key_fixes_partition: bool = False,
+    index_buckets: int | None = None,
 ) -> None:
     """Upsert a frame into a table, creating the table from the frame if needed.
 
     Only partitions that can hold a match are read and rewritten. ``key_fixes_partition``
     says that a key never changes its partition (an event keeps its time), which saves
-    the search for the partitions of matching keys. One writer per table at a time.
+    the search for the partitions of matching keys. ``index_buckets`` keeps an index of the keys
+    in so many buckets, and the search reads the buckets of the incoming keys only; then every
+    writer of the table must give it. One writer per table at a time.
     """
     if not warehouse.exists(table):
         warehouse.like(source, table, ts, by)
@@ -107,6 +111,8 @@ def upsert(
     parts = warehouse.partition_columns(table)
     stored = warehouse.stored(table)
 
+    index = KeyIndex(warehouse, table, keys, index_buckets) if index_buckets else None
+
     touched = fresh.select(*parts)
     if key_fixes_partition and ARRIVED in parts:
         # A match has the same day and type, but may have arrived on any day; a scan of partition columns finds it.
@@ -114,6 +120,8 @@ def upsert(
         days = fresh.select(*[F.col(c).alias(f"_sought_{c}") for c in fixed]).distinct()
         same = [F.col(c).eqNullSafe(F.col(f"_sought_{c}")) for c in fixed]
         touched = touched.unionByName(stored.select(*parts).distinct().join(days, same, "left_semi"))
+    elif not key_fixes_partition and index:
+        touched = touched.unionByName(index.places(fresh))
     elif not key_fixes_partition:
         sought = fresh.select(*[F.col(k).alias(f"_sought_{k}") for k in keys])
         same = [F.col(k).eqNullSafe(F.col(f"_sought_{k}")) for k in keys]
@@ -131,6 +139,9 @@ def upsert(
     strays = written - set(places)
     if strays:
         raise ValueError(f"{table}: rows left the partitions that were read: {sorted(strays)[:3]}")
+    if index:
+        same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+        index.add(result.alias("r").join(fresh.select(*keys).alias("s"), same, "left_semi"))
     warehouse.overwrite_partitions(result, table)
     for place in set(places) - written:
         warehouse.drop_partition(table, dict(zip(parts, place)))
