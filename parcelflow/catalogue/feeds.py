@@ -7,6 +7,7 @@ Every feed maps each row of its table to one event. The same expressions, as SQL
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelflow.model import FINANCIAL, SHIPMENT, TRACKING
 from parcelflow.sources.dimensions import flat_facilities
@@ -184,6 +185,25 @@ def scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(table(spark, sf_dir, "events"), SCAN_SQL)
 
 
+#: Every other delivery of the scans is a booking instead, so that each topic has rows.
+BOOKED_SQL = (
+    "CASE WHEN event_type = 'delivered' AND cast(substr(event_id, 2) AS bigint) % 2 = 1 "
+    "THEN 'cod_collected' ELSE event_type END"
+)
+
+
+def scan_topics(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The scans dealt over the three topics by their type."""
+    scans = scan_feed(spark, sf_dir).withColumn("event_type", F.expr(BOOKED_SQL))
+    created, booked = F.col("event_type") == "shipment_created", F.col("event_type") == "cod_collected"
+    goods = {"weight_gram": F.lit(None).cast("int"), "declared_value_vnd": F.lit(None).cast("bigint")}
+    return {
+        SHIPMENT: scans.filter(created).withColumns(goods),
+        TRACKING: scans.filter(~created & ~booked),
+        FINANCIAL: scans.filter(booked),
+    }
+
+
 TOPIC_FEEDS = {SHIPMENT: created_feed, TRACKING: tracking_feed, FINANCIAL: financial_feed}
 
 

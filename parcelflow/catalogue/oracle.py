@@ -391,6 +391,24 @@ SELECT last_at + to_seconds({LOST_S}), shipment_id, place, 'SUSPECTED_LOST', 'CR
   'no event for >{LOST_S}s; last=' || last_type
 FROM progress WHERE done_at IS NULL
   AND epoch_ms(TIMESTAMP '{AS_OF}') - epoch_ms(last_at) > {LOST_S}000""",
+    # Three topics, tracking a step behind: what the batches bring
+    "dealt": """
+SELECT * REPLACE (CASE WHEN event_type = 'delivered' AND CAST(substr(event_id, 2) AS BIGINT) % 2 = 1
+                       THEN 'cod_collected' ELSE event_type END AS event_type) FROM scans""",
+    "arrivals": """
+SELECT *, (date_diff('day', low, event_time) // ((date_diff('day', low, high) + 3) // 3))
+    + CASE WHEN topic = 'tracking' THEN 1 ELSE 0 END AS batch
+FROM (SELECT *, CASE event_type WHEN 'shipment_created' THEN 'shipment' WHEN 'cod_collected' THEN 'financial'
+          ELSE 'tracking' END AS topic FROM dealt) AS d,
+  (SELECT min(event_time) AS low, max(event_time) AS high FROM scans) AS span
+WHERE event_type <> 'shipment_created' OR sla_committed_date >= strftime(event_time, '%Y-%m-%d')""",
+    "marks_union": """
+SELECT batch, max(newest) OVER (ORDER BY batch) - INTERVAL '60 seconds' AS mark
+FROM (SELECT batch, max(event_time) AS newest FROM arrivals GROUP BY 1) AS b""",
+    "marks_topics": """
+SELECT batch, max(CASE WHEN topics = 3 THEN slowest END) OVER (ORDER BY batch) - INTERVAL '60 seconds' AS mark
+FROM (SELECT batch, count(*) AS topics, min(newest) AS slowest
+      FROM (SELECT batch, topic, max(event_time) AS newest FROM arrivals GROUP BY 1, 2) AS t GROUP BY 1) AS b""",
     "journey_latency": """
 SELECT shipment_id, status, updated_at, updated_at + to_seconds(length(shipment_id) * 3) AS ingested_at,
   CAST(length(shipment_id) * 3 AS BIGINT) AS pipeline_latency_s
@@ -399,6 +417,46 @@ FROM journeys WHERE status IN ('IN_PROCESS', 'DELIVERED', 'RETURNED')""",
 
 
 
+def tracked_topics(marks: str) -> str:
+    """Last journey row per shipment of a tracker whose watermark after each batch is in ``marks``."""
+    order = "ORDER BY batch, event_time, sequence_no, event_id"
+    done = "done_at IS NOT NULL"
+    return f"""
+WITH kept AS (
+  SELECT a.* FROM arrivals AS a LEFT JOIN {marks} AS m ON m.batch = a.batch - 1
+  WHERE m.mark IS NULL OR a.event_time > m.mark),
+stays AS (
+  SELECT shipment_id, CAST(sum(epoch_ms(event_time) - epoch_ms(before_at)) AS BIGINT) AS dwell_ms
+  FROM (SELECT *, lag(event_type) OVER h AS before_type, lag(event_time) OVER h AS before_at
+        FROM kept WHERE event_type IN ('arrived_at_hub', 'departed_hub')
+        WINDOW h AS (PARTITION BY shipment_id {order})) AS x
+  WHERE event_type = 'departed_hub' AND before_type = 'arrived_at_hub' GROUP BY 1),
+folded AS (
+  SELECT shipment_id, min(event_time) FILTER (event_type = 'shipment_created') AS created_at,
+    last(sla_committed_date {order}) FILTER (event_type = 'shipment_created') AS sla,
+    max(event_time) AS last_at, last(facility_id {order}) AS place,
+    max(attempt_no) FILTER (event_type IN ('delivered', 'failed_delivery')) AS attempt,
+    last(event_time {order}) FILTER (event_type = 'delivered') AS done_at
+  FROM kept GROUP BY 1),
+clocked AS (
+  SELECT f.*, coalesce(s.dwell_ms, 0) AS dwell_ms,
+    (SELECT count(DISTINCT mark) FROM {marks} WHERE mark > f.last_at + to_seconds({STUCK_S})) AS passed,
+    (SELECT count(*) FROM {marks} WHERE mark > f.last_at + to_seconds({LOST_S})) AS passed_lost
+  FROM folded AS f LEFT JOIN stays AS s ON f.shipment_id = s.shipment_id),
+named AS (
+  SELECT *, CASE WHEN {done} THEN 'DELIVERED' WHEN passed > 1 AND passed_lost > 0 THEN 'LOST'
+    WHEN passed > 0 THEN 'STUCK' ELSE 'IN_PROCESS' END AS status FROM clocked)
+SELECT shipment_id, status, coalesce(place, 'UNKNOWN') AS current_facility,
+  CAST((epoch_ms(done_at) - epoch_ms(created_at)) / 1000.0 AS DOUBLE) AS e2e_transit_s,
+  CASE WHEN {done} THEN CAST(dwell_ms / 1000.0 AS DOUBLE) END AS total_hub_dwell_s,
+  coalesce(CASE WHEN {done} THEN sla END, 'UNKNOWN') AS sla_committed_date,
+  CASE WHEN {done} THEN CAST(coalesce(strftime(done_at, '%Y-%m-%d') <= sla, false) AS INTEGER) END AS sla_met,
+  CASE WHEN {done} THEN attempt END AS attempt_count,
+  CASE status WHEN 'DELIVERED' THEN done_at WHEN 'LOST' THEN last_at + to_seconds({LOST_S})
+    WHEN 'STUCK' THEN last_at + to_seconds({STUCK_S}) ELSE last_at END AS updated_at
+FROM named"""
+
+
 def _uses(text: str) -> list[str]:
     """CTEs a statement names, in definition order."""
     words = set("".join(c if c.isalnum() or c == "_" else " " for c in text).split())
@@ -417,4 +475,7 @@ def query(select: str) -> str:
     order = [name for name in CTES if name in needed]
     if not order:
         return select
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order) + "\n" + select
+    shared = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order)
+    if select.lstrip().startswith("WITH "):
+        return f"WITH {shared},\n{select.lstrip().removeprefix('WITH ')}"
+    return f"WITH {shared}\n{select}"

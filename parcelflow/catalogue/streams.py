@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from parcelflow.catalogue.feeds import SCAN_SQL, SCHEMAS, _mapped, dimensions, scan_feed
+from parcelflow.catalogue.feeds import SCAN_SQL, SCHEMAS, _mapped, dimensions, scan_feed, scan_topics
 from parcelflow.model import TRACKING
+from parcelflow.operators.dedup import latest_per_key
 from parcelflow.plans.enrich import deduplicated
 from parcelflow.plans.kpis import KPIS, merged_kpi
 from parcelflow.session import STREAM_CONF, new_scratch, session_conf
@@ -79,6 +81,38 @@ def replay(
         yield drain(start(spark.readStream.schema(scans.schema).parquet(path)))
 
 
+def replay_topics(
+    spark: SparkSession,
+    feeds: Mapping[str, DataFrame],
+    lags: Mapping[str, int],
+    start: Callable[[dict[str, DataFrame]], StreamingQuery],
+    steps: int = 3,
+) -> Iterator[StreamingQuery]:
+    """Stream several topics in order of time, each ``lags[topic]`` steps behind the others.
+
+    A step is an equal number of whole UTC days, and one batch of the same checkpoint. Rows without
+    a time come first. Further steps bring what lags.
+    """
+    days = [df.select(F.to_date("event_time").alias("day")) for df in feeds.values()]
+    low, high = reduce(DataFrame.unionByName, days).agg(F.min("day"), F.max("day")).first()
+    width = ((high - low).days + steps) // steps if low else 1
+    staged, paths = {}, {}
+    for topic, df in feeds.items():
+        folder, paths[topic] = new_scratch(spark, "topic-steps"), new_scratch(spark, "topic")
+        step = F.floor(F.date_diff(F.to_date("event_time"), F.lit(low)) / width).cast("int")
+        lagging = F.coalesce(step, F.lit(0)) + lags.get(topic, 0)
+        df.withColumn("step", lagging).write.partitionBy("step").parquet(folder)
+        schema = T.StructType([*df.schema, T.StructField("step", T.IntegerType())])
+        staged[topic] = spark.read.schema(schema).parquet(folder)
+        spark.createDataFrame([], df.schema).write.parquet(paths[topic])
+    for number in range(steps + max(lags.values(), default=0)):
+        for topic, rows in staged.items():
+            part = rows.filter(F.col("step") == number).drop("step")
+            part.write.mode("append").parquet(paths[topic])
+        streams = {t: spark.readStream.schema(df.schema).parquet(paths[t]) for t, df in feeds.items()}
+        yield drain(start(streams))
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as tracking events, repeats of an id dropped under the watermark."""
     from parcelflow.catalogue.feeds import TRACKING_SQL
@@ -162,5 +196,44 @@ def tracker_tables(
     }
 
 
+def tracker_topics(
+    spark: SparkSession,
+    sf_dir: str,
+    limits: StateThresholds,
+    watermark: str,
+    scope: str = "topic",
+    policy: str = "min",
+    steps: int = 3,
+) -> str:
+    """Run the tracker over three topics of which tracking lags by a step; gives the folder of its tables.
+
+    With a watermark per topic and the ``min`` policy the lagging topic holds the clock back. With ``max``,
+    or one watermark after the union (``scope``), its rows come late. A topic that brings no row since the
+    query was started holds ``min`` where it is.
+    """
+    path, checkpoint = new_scratch(spark, "tracker"), new_scratch(spark, "checkpoint")
+    append = folder_append(path)
+    conf = replace(settings("5 minutes", "1 minute", watermark, limits), watermark_scope=scope)
+    dims = dimensions(spark, sf_dir)
+
+    def start(parsed: dict[str, DataFrame]) -> StreamingQuery:
+        return start_tracker(parsed, dims, append, checkpoint, conf)
+
+    policy_conf = {"spark.sql.streaming.multipleWatermarkPolicy": policy}
+    with (
+        session_conf(spark, stream_conf() | policy_conf),
+        logged(spark, progress_writer(append, "replay")) as log,
+    ):
+        for query in replay_topics(spark, scan_topics(spark, sf_dir), {TRACKING: 1}, start, steps):
+            log.settle(query)
+    return path
+
+
+def last_journeys(spark: SparkSession, path: str) -> DataFrame:
+    """The row of each shipment that the tracker wrote last, whatever time it states."""
+    rows = spark.read.parquet(f"{path}/kpi_shipment_journey")
+    return latest_per_key(rows, ["shipment_id"], ["ingested_at", "updated_at"])
+
+
 def progress_of(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{PROGRESS_TABLE}")
