@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.catalogue.feeds import SCAN_SQL, SCHEMAS, _mapped, dimensions, scan_feed, scan_topics
-from parcelflow.model import TRACKING
+from parcelflow.model import TRACKING, topic_schema
 from parcelflow.operators.dedup import latest_per_key
 from parcelflow.plans.enrich import deduplicated
 from parcelflow.plans.kpis import KPIS, merged_kpi
@@ -24,7 +24,13 @@ from parcelflow.streaming.app import (
     start_tracker,
 )
 from parcelflow.streaming.progress import logged
-from parcelflow.streaming.sinks import BATCH, PROGRESS_TABLE, folder_append, progress_writer
+from parcelflow.streaming.sinks import (
+    BATCH,
+    INTAKE_TABLE,
+    PROGRESS_TABLE,
+    folder_append,
+    progress_writer,
+)
 
 
 def stream_conf(partitions: int = 8) -> dict[str, str]:
@@ -170,6 +176,27 @@ def partial_kpis(
     return path
 
 
+def intake_tables(spark: SparkSession, sf_dir: str, watermark: str) -> dict[str, DataFrame]:
+    """Run the KPIs of all topics over the scans, every fifth of them sent twice; gives the intake table."""
+    path, checkpoint = new_scratch(spark, "intake"), new_scratch(spark, "checkpoint")
+    append, conf = folder_append(path), settings("6 hours", "6 hours", watermark)
+    twice = F.expr("CASE WHEN cast(substr(event_id, 2) AS bigint) % 5 = 0 THEN 2 ELSE 1 END")
+    writers = progress_writer(append, "replay"), progress_writer(append, "replay", INTAKE_TABLE)
+    with session_conf(spark, stream_conf()), logged(spark, *writers) as log:
+        for topic, scans in scan_topics(spark, sf_dir).items():
+            absent = [f for f in topic_schema(topic) if f.name not in scans.columns]
+            sent = scans.select(
+                "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent]
+            ).withColumn("copy", F.explode(F.array_repeat(F.lit(1), twice)))
+
+            def start(parsed: dict[str, DataFrame], topic=topic) -> StreamingQuery:
+                return start_partial_kpis(parsed[topic], topic, append, checkpoint, conf)
+
+            for query in replay_topics(spark, {topic: sent.drop("copy")}, {}, start):
+                log.settle(query)
+    return {INTAKE_TABLE: spark.read.parquet(f"{path}/{INTAKE_TABLE}")}
+
+
 def merged_flow(spark: SparkSession, path: str) -> DataFrame:
     kpi = KPIS["kpi_facility_flow"]
     return merged_kpi(kpi, spark.read.parquet(f"{path}/{kpi.name}")).drop("ingested_at")

@@ -177,6 +177,13 @@ PROGRESS = (
 )
 
 
+# What a batch took in, as observed on the way through.
+INTAKE = (
+    "event_ts timestamp, query_id string, query_name string, batch_id bigint, num_input_rows bigint, "
+    "total bigint, invalid bigint"
+)
+
+
 def columns_of(ddl: str) -> list[str]:
     """Column names of a DDL text; works before a session exists."""
     return re.findall(r"(\w+) [a-z]+", ddl)

@@ -254,6 +254,16 @@ def latency_kpi_summary(t: Tables, as_of=None) -> DataFrame:
     return _latency(latency_kpi(t, as_of), ["kpi_name"], "window_count", "last_ingested_at", as_of)
 
 
+def stream_intake_summary(t: Tables) -> DataFrame:
+    """Rows read, distinct rows and invalid rows per query. A batch reported twice counts once."""
+    batches = latest_per_key(t["streaming_intake_stats"], ["query_id", "batch_id"], ["event_ts", "ingested_at"])
+    return batches.groupBy("query_name").agg(
+        F.sum("num_input_rows").alias("input_rows"),
+        F.sum("total").alias("distinct_rows"),
+        F.sum("invalid").alias("invalid_rows"),
+    )
+
+
 def stream_progress_summary(t: Tables) -> DataFrame:
     rps, took = "processed_rows_per_second", "batch_duration_ms"
     return (

@@ -17,6 +17,7 @@ from parcelflow.settings import StreamSettings
 from parcelflow.sources.warehouse import Warehouse, create_raw_tables
 from parcelflow.streaming.progress import ProgressLog
 from parcelflow.streaming.sinks import (
+    INTAKE_TABLE,
     Append,
     batch_name,
     create_dead_letters,
@@ -97,7 +98,10 @@ def start_all(
     settings = settings or StreamSettings()
     create_raw_tables(warehouse)
     create_dead_letters(warehouse)
-    log = ProgressLog(warehouse.spark, progress_writer(append, uuid.uuid4().hex[:12]))
+    run = uuid.uuid4().hex[:12]
+    log = ProgressLog(
+        warehouse.spark, progress_writer(append, run), progress_writer(append, run, INTAKE_TABLE)
+    )
     warehouse.spark.streams.addListener(log)
     started = []
     for topic, stream in parsed.items():

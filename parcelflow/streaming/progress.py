@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
-from parcelflow.model import PROGRESS
+from parcelflow.model import INTAKE, PROGRESS
 
 
 def finite(value) -> float:
@@ -39,34 +39,57 @@ def progress_row(progress) -> tuple:
     )
 
 
+def intake_row(progress) -> tuple | None:
+    """What ``plans.kpis.intake_stats`` counted in the batch; None for a query without it."""
+    seen = (progress.observedMetrics or {}).get("intake")
+    if seen is None:
+        return None
+    return (
+        datetime.now(timezone.utc).replace(microsecond=0),
+        str(progress.id),
+        progress.name or "unnamed",
+        int(progress.batchId or 0),
+        int(progress.numInputRows or 0),
+        int(seen["total"] or 0),
+        int(seen["invalid"] or 0),
+    )
+
+
 class ProgressLog(StreamingQueryListener):
-    """Collects progress rows, one per micro-batch, until ``flush`` writes them.
+    """Collects progress and intake rows, one per micro-batch, until ``flush`` writes them.
 
     The listener's own thread runs no Spark job; the thread that waits for the queries
     flushes (see ``app.await_streams``).
     """
 
-    def __init__(self, spark: SparkSession, write=None):
+    def __init__(self, spark: SparkSession, write=None, write_intake=None):
         super().__init__()
-        self.spark, self.write = spark, write
+        self.spark, self.write, self.write_intake = spark, write, write_intake
         self.rows: list[tuple] = []
+        self.intake: list[tuple] = []
         self.ended: set[str] = set()
         self.lock = threading.Condition()
 
     def flush(self) -> int:
-        """Write the rows collected so far; gives their number."""
+        """Write the rows collected so far; gives the number of progress rows."""
         with self.lock:
             rows, self.rows = self.rows, []
+            intake, self.intake = self.intake, []
         if rows and self.write:
             self.write(self.spark.createDataFrame(rows, PROGRESS))
+        if intake and self.write_intake:
+            self.write_intake(self.spark.createDataFrame(intake, INTAKE))
         return len(rows)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
+        counted = intake_row(event.progress)
         with self.lock:
             self.rows.append(progress_row(event.progress))
+            if counted is not None:
+                self.intake.append(counted)
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -84,9 +107,9 @@ class ProgressLog(StreamingQueryListener):
 
 
 @contextmanager
-def logged(spark: SparkSession, write) -> Iterator[ProgressLog]:
+def logged(spark: SparkSession, write, write_intake=None) -> Iterator[ProgressLog]:
     """A log that listens while the block runs."""
-    log = ProgressLog(spark, write)
+    log = ProgressLog(spark, write, write_intake)
     spark.streams.addListener(log)
     try:
         yield log

@@ -26,6 +26,7 @@ Append = Callable[[DataFrame, str, str], None]
 
 BATCH = "source_batch"
 PROGRESS_TABLE = "streaming_query_progress"
+INTAKE_TABLE = "streaming_intake_stats"
 DEAD_TABLE = "dead_letters"
 
 
@@ -172,12 +173,14 @@ def tracker_writer(append: Append, name: Callable[[int], str] = str) -> BatchWri
     return write
 
 
-def progress_writer(append: Append, run: str) -> Callable[[DataFrame], None]:
-    """Blocks of progress rows to their table."""
+def progress_writer(
+    append: Append, run: str, table: str = PROGRESS_TABLE
+) -> Callable[[DataFrame], None]:
+    """Blocks of progress or intake rows to their table."""
     blocks = itertools.count()
 
     def write(rows: DataFrame) -> None:
         stamped = rows.withColumn("ingested_at", F.current_timestamp())
-        append(stamped, PROGRESS_TABLE, f"{run}-{next(blocks)}")
+        append(stamped, table, f"{run}-{next(blocks)}")
 
     return write

@@ -5,15 +5,16 @@ from __future__ import annotations
 import json
 import os
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.catalogue.feeds import scan_feed
-from parcelflow.catalogue.streams import drain, merged_flow, partial_kpis, progress_of, settings, stream_conf
-from parcelflow.model import FINANCIAL, SHIPMENT, TOPICS, TRACKING, topic_schema
+from parcelflow.catalogue.streams import drain, last_journeys, merged_flow, partial_kpis, progress_of, replay_topics, settings, stream_conf, tracker_topics
+from parcelflow.model import FINANCIAL, INTAKE, SHIPMENT, TOPICS, TRACKING, topic_schema
 from parcelflow.plans.kpis import KPIS, compute_kpi, merged_kpi
-from parcelflow.plans.serving import register_views, shipment_journey, stream_progress_summary
+from parcelflow.plans.serving import register_views, shipment_journey, stream_intake_summary, stream_progress_summary
 from parcelflow.session import new_scratch, scratch_root, session_conf
 from parcelflow.settings import StateThresholds, StreamSettings
 from parcelflow.sources.topics import decode, file_topic
@@ -195,10 +196,56 @@ def test_all_streams_together(spark, tmp_path, dims):
     journey = shipment_journey(tables).filter("shipment_id = 'S1'").first()
     assert (journey.status, journey.total_hub_dwell_s, journey.sla_met) == ("DELIVERED", 20.0, 1)
     assert [r.anomaly_type for r in tables["anomaly_alerts"].collect()] == ["LONG_HUB_DWELL"]
+    intake = stream_intake_summary({"streaming_intake_stats": spark.read.parquet(f"{path}/streaming_intake_stats")})
+    seen = {r.query_name: (r.input_rows, r.distinct_rows, r.invalid_rows) for r in intake.collect()}
+    assert seen["kpi_logistics_shipment_events"] == (2, 2, 1)
+    assert seen["kpi_logistics_tracking_events"] == (3, 3, 0)
     register_views(tables, ["v_shipment_status_dist", "v_anomaly_summary"])
     assert spark.sql("SELECT alert_count FROM v_anomaly_summary").first()[0] == 1
 
 
+def test_lagging_topic_is_kept_or_dropped_by_the_watermark(spark, sf_dir):
+    found = {}
+    for name, scope, policy in (("kept", "topic", "min"), ("fastest", "topic", "max"), ("union", "union", "min")):
+        path = tracker_topics(spark, sf_dir, LIMITS, "60 seconds", scope, policy)
+        progress = progress_of(spark, path)
+        late = progress.agg({"num_dropped_late_rows": "sum"}).first()[0]
+        rows = last_journeys(spark, path).drop("ingested_at", "source_batch")
+        found[name] = late, sorted(rows.collect(), key=lambda r: r.shipment_id)
+    assert found["kept"][0] == 0 and found["union"][0] > 0
+    assert found["fastest"] == found["union"]
+    delivered = {name: sum(r.status == "DELIVERED" for r in rows) for name, (_, rows) in found.items()}
+    assert delivered["kept"] > delivered["union"]
+    # Under min the clock stands at the lagging topic, so the newest day is still open.
+    assert any(r.status == "IN_PROCESS" for r in found["kept"][1])
+
+
+def test_topics_replay_in_steps_of_whole_days(spark):
+    fields = "event_id string, event_time timestamp"
+    times = ["2024-01-01 05:00:00", "2024-01-02 00:00:00", "2024-01-06 23:59:59", None]
+    rows = [(str(i), t and datetime.fromisoformat(t)) for i, t in enumerate(times)]
+    feeds = {t: spark.createDataFrame(rows, fields) for t in (SHIPMENT, TRACKING)}
+    path, seen = new_scratch(spark, "steps"), []
+
+    def start(parsed):
+        both = parsed[SHIPMENT].selectExpr("'s' || event_id AS id").union(parsed[TRACKING].selectExpr("'t' || event_id AS id"))
+        return both.writeStream.format("parquet").option("checkpointLocation", f"{path}-c").trigger(availableNow=True).start(path)
+
+    for _ in replay_topics(spark, feeds, {TRACKING: 1}, start):
+        seen.append({r.id for r in spark.read.schema("id string").parquet(path).collect()})
+    assert seen[0] == {"s0", "s1", "s3"}
+    assert seen[1] - seen[0] == {"t0", "t1", "t3"}
+    assert seen[2] - seen[1] == {"s2"} and seen[3] - seen[2] == {"t2"}
+
+
+def test_batch_reported_twice_counts_once(spark):
+    row = (datetime(2024, 1, 1), "q", "kpi", 0, 5, 4, 1)
+    again = (datetime(2024, 1, 2), *row[1:])
+    other = (datetime(2024, 1, 1), "q", "kpi", 1, 2, 2, 0)
+    table = spark.createDataFrame([row, again, other], INTAKE).withColumn("ingested_at", F.current_timestamp())
+    assert [tuple(r) for r in stream_intake_summary({"streaming_intake_stats": table}).collect()] == [("kpi", 7, 6, 1)]
+
+
 def test_sweep_loses_more_with_a_tighter_watermark(spark, feed):
     for second in range(0, 600, 120):
         feed.put(event("arrived_at_hub", second, f"S{second}", facility_id="H1"), event("departed_hub", max(0, second - 400), f"L{second}", facility_id="H1"))
