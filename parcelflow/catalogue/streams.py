@@ -18,7 +18,10 @@ from parcelflow.plans.enrich import deduplicated
 from parcelflow.plans.kpis import KPIS, merged_kpi
 from parcelflow.session import STREAM_CONF, new_scratch, session_conf
 from parcelflow.settings import StateThresholds, StreamSettings
+from parcelflow.sources.versions import DimensionVersions
 from parcelflow.streaming.app import (
+    enriched_table,
+    start_enriched,
     start_final_kpi,
     start_partial_kpis,
     start_tracker,
@@ -176,6 +179,29 @@ def partial_kpis(
     return path
 
 
+#: What changes after the second batch: later facilities are opened and every second one changes its branch.
+MOVED_SQL = "CASE WHEN cast(substr(facility_id, 2) AS bigint) % 2 = 0 THEN 'B0' ELSE branch_id END"
+
+
+def enriched_scans(spark: SparkSession, sf_dir: str, watermark: str) -> DataFrame:
+    """The scans joined to dimensions of which a new version is published after the second of three batches."""
+    path, checkpoint = new_scratch(spark, "enriched"), new_scratch(spark, "checkpoint")
+    append, conf = folder_append(path), settings("6 hours", "6 hours", watermark)
+    versions, dims = DimensionVersions(spark, new_scratch(spark, "dimensions")), dimensions(spark, sf_dir)
+    places = dims["dim_facility"]
+    opened = places.filter("cast(substr(facility_id, 2) AS bigint) % 5 <> 0")
+    versions.publish({"dim_facility": opened, "dim_route": dims["dim_route"]})
+
+    def start(parsed: DataFrame) -> StreamingQuery:
+        return start_enriched(parsed, TRACKING, versions, append, checkpoint, conf)
+
+    with session_conf(spark, stream_conf()):
+        for number, _ in enumerate(replay(spark, sf_dir, start)):
+            if number == 1:
+                versions.publish({"dim_facility": places.withColumn("branch_id", F.expr(MOVED_SQL))})
+    return spark.read.parquet(f"{path}/{enriched_table(TRACKING)}").drop(BATCH, "enriched_at")
+
+
 def intake_tables(spark: SparkSession, sf_dir: str, watermark: str) -> dict[str, DataFrame]:
     """Run the KPIs of all topics over the scans, every fifth of them sent twice; gives the intake table."""
     path, checkpoint = new_scratch(spark, "intake"), new_scratch(spark, "checkpoint")

@@ -135,21 +135,15 @@ def deduplicated(df: DataFrame, watermark: str, bounded: bool = True) -> DataFra
     return marked.dropDuplicates(["event_id"])
 
 
-def measured_stream(
+def flagged_stream(
     df: DataFrame, topic: str, watermark: str, bounded_dedup: bool = True
 ) -> DataFrame:
-    """Parsed stream -> deduplicated, flagged stream with its own measures, for KPIs."""
-    flagged = with_quality(deduplicated(df, watermark, bounded_dedup), topic)
-    return event_measures(flagged, topic)
+    """Parsed stream -> deduplicated, flagged stream."""
+    return with_quality(deduplicated(df, watermark, bounded_dedup), topic)
 
 
-def enriched_stream(
-    df: DataFrame,
-    topic: str,
-    dims: Mapping[str, DataFrame],
-    watermark: str,
-    bounded_dedup: bool = True,
+def measured_stream(
+    df: DataFrame, topic: str, watermark: str, bounded_dedup: bool = True
 ) -> DataFrame:
-    """The same with the topic's dimensions joined."""
-    flagged = with_quality(deduplicated(df, watermark, bounded_dedup), topic)
-    return enrich(flagged, topic, dims)
+    """The same with the measures that need only the event itself, for KPIs."""
+    return event_measures(flagged_stream(df, topic, watermark, bounded_dedup), topic)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from parcelflow.functions.dates import as_timestamp, whole_seconds
 from parcelflow.functions.measures import percent, ratio
 from parcelflow.operators.dedup import latest_per_key
-from parcelflow.operators.lookup import lookup
+from parcelflow.operators.lookup import lookup, small
+from parcelflow.operators.sketches import SKETCH_K, merged, quantile, rank_error, sketch
 from parcelflow.plans.kpis import KPIS, merged_kpi
 
 Tables = Mapping[str, DataFrame]
@@ -254,6 +255,59 @@ def latency_kpi_summary(t: Tables, as_of=None) -> DataFrame:
     return _latency(latency_kpi(t, as_of), ["kpi_name"], "window_count", "last_ingested_at", as_of)
 
 
+def latency_parts(rows: DataFrame, keys: list, stamp: str, k: int = SKETCH_K) -> DataFrame:
+    """Partial latency figures per keys that can be kept and added up: counts, sums and a quantile sketch."""
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(LAG).alias("known"),
+        F.sum(LAG).alias("total_s"),
+        F.max(LAG).alias("longest_s"),
+        F.max(stamp).alias("newest"),
+        sketch(F.col(LAG), k).alias("latency_sketch"),
+    )
+
+
+def latency_merged(
+    parts: DataFrame, keys: list[str], count: str, as_of=None, k: int = SKETCH_K
+) -> DataFrame:
+    """The figures of ``_latency`` out of parts; p50 and p95 within ``rank_error`` of their ranks."""
+    added = parts.groupBy(*keys).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias(count),
+        F.sum("known").alias("known"),
+        F.sum("total_s").alias("total_s"),
+        F.max("longest_s").alias("max_latency_s"),
+        F.max("newest").alias("last_ingested_at"),
+        merged(F.col("latency_sketch"), k).alias("latency_sketch"),
+    )
+    return added.select(
+        *keys,
+        count,
+        F.round(F.try_divide("total_s", "known"), 2).alias("avg_latency_s"),
+        quantile("latency_sketch", 0.50).alias("p50_latency_s"),
+        quantile("latency_sketch", 0.95).alias("p95_latency_s"),
+        "max_latency_s",
+        "last_ingested_at",
+        (F.unix_seconds(_now(as_of)) - F.unix_seconds("last_ingested_at")).alias("data_age_s"),
+    )
+
+
+def held_ranks(rows: DataFrame, summary: DataFrame, keys: list[str], k: int = SKETCH_K) -> DataFrame:
+    """Add whether p50 and p95 of a summary lie within twice the stated error of their ranks among all rows."""
+    shares = {0.50: "p50", 0.95: "p95"}
+    asked = small(summary.select(*keys, *[f"{p}_latency_s" for p in shares.values()]))
+    counts = [F.count(LAG).alias("n")]
+    for p in shares.values():
+        counts.append(F.count_if(F.col(LAG) < F.col(f"{p}_latency_s")).alias(f"{p}_below"))
+        counts.append(F.count_if(F.col(LAG) <= F.col(f"{p}_latency_s")).alias(f"{p}_upto"))
+    ranked = rows.join(asked, keys).groupBy(*keys).agg(*counts)
+    slack = 2 * rank_error(k)
+    flags = [
+        ((F.col(f"{p}_below") <= (q + slack) * F.col("n")) & (F.col(f"{p}_upto") >= (q - slack) * F.col("n"))).alias(f"{p}_within")
+        for q, p in shares.items()
+    ]
+    return summary.join(ranked.select(*keys, *flags), keys, "left")
+
+
 def stream_intake_summary(t: Tables) -> DataFrame:
     """Rows read, distinct rows and invalid rows per query. A batch reported twice counts once."""
     batches = latest_per_key(t["streaming_intake_stats"], ["query_id", "batch_id"], ["event_ts", "ingested_at"])

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.functions.quality import with_quality
-from parcelflow.plans.enrich import measured_stream
+from parcelflow.plans.enrich import flagged_stream, measured_stream
 from parcelflow.plans.journey import unify, with_state_lookups
 from parcelflow.plans.kpis import Kpi, compute_kpi, intake_stats, kpis_of
 from parcelflow.settings import StreamSettings
+from parcelflow.sources.versions import DimensionVersions
 from parcelflow.sources.warehouse import Warehouse, create_raw_tables
 from parcelflow.streaming.progress import ProgressLog
 from parcelflow.streaming.sinks import (
@@ -21,6 +22,7 @@ from parcelflow.streaming.sinks import (
     Append,
     batch_name,
     create_dead_letters,
+    enriched_writer,
     kpi_writer,
     progress_writer,
     raw_writer,
@@ -71,6 +73,21 @@ def start_final_kpi(kpi: Kpi, parsed, append: Append, checkpoint, settings) -> S
     return _start(rows, query, "append", write, checkpoint, settings)
 
 
+def enriched_table(topic: str) -> str:
+    return f"enriched_{short(topic)}"
+
+
+def start_enriched(
+    parsed, topic, versions: DimensionVersions, append: Append, checkpoint, settings
+) -> StreamingQuery:
+    """Deduplicated, flagged events with the topic's dimensions; a change of these counts from the next batch on."""
+    events = flagged_stream(parsed, topic, settings.watermarks[topic])
+    query = enriched_table(topic)
+    name = partial(batch_name, checkpoint, query)
+    writer = enriched_writer(versions, topic, query, append, name)
+    return _start(events, query, "append", writer, checkpoint, settings)
+
+
 def unified_stream(parsed: Mapping[str, DataFrame], settings: StreamSettings) -> DataFrame:
     """Valid events of all topics. Not deduplicated: the tracker sees what arrives."""
     valid = {t: with_quality(df, t).filter("is_valid") for t, df in parsed.items()}

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.measures import fill_unknown
 from parcelflow.model import ENVELOPE, TRANSPORT, columns_of, event_types, raw_columns
+from parcelflow.plans.enrich import enrich
 from parcelflow.plans.kpis import Kpi, compute_kpi
+from parcelflow.sources.versions import DimensionVersions
 from parcelflow.sources.warehouse import ARRIVED, RAW_TABLES, Warehouse
 from parcelflow.streaming.tracker import alert_rows, journey_rows
 
@@ -118,6 +120,22 @@ def create_dead_letters(warehouse: Warehouse) -> None:
     warehouse.create(DEAD_TABLE, f"{columns}, topic string, {BATCH} string", None, by=["topic", BATCH])
 
 
+def enriched_writer(
+    versions: DimensionVersions, topic: str, table: str, append: Append, name: Callable[[int], str] = str
+) -> BatchWriter:
+    """A batch's events with their dimensions joined, as the newest version has them when the batch begins.
+
+    ``dim_version`` says which that was. A batch run again reads the same version.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        number = versions.pinned(name(batch_id))
+        rows = enrich(batch, topic, versions.read(number))
+        append(rows.withColumn("dim_version", F.lit(number)), table, name(batch_id))
+
+    return write
+
+
 def raw_writer(warehouse: Warehouse, topic: str, name: Callable[[int], str] = str) -> BatchWriter:
     """Every event of a batch to the partition of its type, arrival and day, in one write; the others to the dead letters.
 
