@@ -134,18 +134,26 @@ FINANCIAL_SQL = {
     "kafka_offset": "l_partkey * 100000 + l_suppkey",
 }
 
+# Every stage of a shipment that the tracker knows; terminal events of both kinds.
+SCAN_TYPE_SQL = """CASE event_type WHEN 'signup' THEN 'shipment_created'
+  WHEN 'click' THEN CASE cast(event_id % 4 AS int) WHEN 1 THEN 'picked_up'
+    WHEN 2 THEN 'arrived_at_origin_post_office' ELSE 'arrived_at_hub' END
+  WHEN 'view' THEN CASE cast(event_id % 4 AS int) WHEN 1 THEN 'departed_origin_post_office'
+    WHEN 2 THEN 'dispatched_for_delivery' ELSE 'departed_hub' END
+  WHEN 'error' THEN 'failed_delivery'
+  ELSE CASE WHEN event_id % 5 = 0 THEN 'returned_to_sender' ELSE 'delivered' END END"""
+
 # events: a month of scans with times to the microsecond; a shipment is a user's day.
 SCAN_SQL = {
     "event_id": "concat('E', event_id)",
-    "event_type": "CASE event_type WHEN 'signup' THEN 'shipment_created' "
-    "WHEN 'click' THEN 'arrived_at_hub' WHEN 'view' THEN 'departed_hub' "
-    "WHEN 'error' THEN 'failed_delivery' ELSE 'delivered' END",
+    "event_type": SCAN_TYPE_SQL,
     "event_time": "date_trunc('second', ts)",
     "shipment_id": "concat(user_id, '-', date_format(ts, 'yyyyMMdd'))",
     "sequence_no": "cast(event_id % 7 AS int)",
     "facility_id": "concat('F', from_json(props, 'k int').k)",
     "route_id": "CASE WHEN event_type = 'click' THEN concat('RT', from_json(props, 'k int').k) END",
-    "attempt_no": "CASE WHEN event_type IN ('error', 'purchase') THEN cast(1 + event_id % 3 AS int) END",
+    "attempt_no": "CASE WHEN event_type IN ('error', 'purchase') OR event_type = 'view' AND event_id % 4 = 2 "
+    "THEN cast(1 + event_id % 3 AS int) END",
     "service_type_id": "CASE WHEN event_type = 'signup' THEN "
     "CASE WHEN user_id % 2 = 0 THEN '1-URGENT' ELSE '5-LOW' END END",
     "sla_committed_date": "CASE WHEN event_type = 'signup' THEN "

@@ -89,14 +89,21 @@ SELECT 'M' || l_orderkey || '-' || l_linenumber AS event_id,
 FROM lineitem""",
     "scans": """
 SELECT 'E' || event_id AS event_id,
-  CASE event_type WHEN 'signup' THEN 'shipment_created' WHEN 'click' THEN 'arrived_at_hub'
-    WHEN 'view' THEN 'departed_hub' WHEN 'error' THEN 'failed_delivery' ELSE 'delivered' END AS event_type,
+  CASE WHEN event_type = 'signup' THEN 'shipment_created' WHEN event_type = 'error' THEN 'failed_delivery'
+    WHEN event_type = 'click' AND event_id % 4 = 1 THEN 'picked_up'
+    WHEN event_type = 'click' AND event_id % 4 = 2 THEN 'arrived_at_origin_post_office'
+    WHEN event_type = 'click' THEN 'arrived_at_hub'
+    WHEN event_type = 'view' AND event_id % 4 = 1 THEN 'departed_origin_post_office'
+    WHEN event_type = 'view' AND event_id % 4 = 2 THEN 'dispatched_for_delivery'
+    WHEN event_type = 'view' THEN 'departed_hub'
+    WHEN event_id % 5 = 0 THEN 'returned_to_sender' ELSE 'delivered' END AS event_type,
   date_trunc('second', ts) AS event_time,
   user_id || '-' || strftime(ts, '%Y%m%d') AS shipment_id,
   CAST(event_id % 7 AS INTEGER) AS sequence_no,
   'F' || CAST(json_extract(props, '$.k') AS INTEGER) AS facility_id,
   CASE WHEN event_type = 'click' THEN 'RT' || CAST(json_extract(props, '$.k') AS INTEGER) END AS route_id,
-  CASE WHEN event_type IN ('error', 'purchase') THEN CAST(1 + event_id % 3 AS INTEGER) END AS attempt_no,
+  CASE WHEN event_type IN ('error', 'purchase') OR (event_type = 'view' AND event_id % 4 = 2)
+       THEN CAST(1 + event_id % 3 AS INTEGER) END AS attempt_no,
   CASE WHEN event_type = 'signup'
        THEN CASE WHEN user_id % 2 = 0 THEN '1-URGENT' ELSE '5-LOW' END END AS service_type_id,
   CASE WHEN event_type = 'signup'
@@ -332,32 +339,42 @@ SELECT p.*, coalesce(d.dwell_ms, 0) AS dwell_ms FROM (
     max(event_time) AS last_at,
     last(event_type ORDER BY event_time, sequence_no, event_id) AS last_type,
     last(facility_id ORDER BY event_time, sequence_no, event_id) AS place,
-    max(attempt_no) FILTER (event_type IN ('delivered', 'failed_delivery')) AS attempt,
+    max(event_time) FILTER (event_type = 'picked_up') AS picked_up_at,
+    max(event_time) FILTER (event_type = 'arrived_at_origin_post_office') AS origin_in_at,
+    max(event_time) FILTER (event_type = 'departed_origin_post_office') AS origin_out_at,
+    max(event_time) FILTER (event_type = 'dispatched_for_delivery') AS dispatched_at,
+    max(attempt_no) FILTER (event_type IN ('dispatched_for_delivery', 'delivered', 'failed_delivery')) AS attempt,
+    last(event_type ORDER BY event_time, sequence_no, event_id)
+      FILTER (event_type IN ('delivered', 'returned_to_sender')) = 'delivered' AS arrived,
     last(event_time ORDER BY event_time, sequence_no, event_id)
-      FILTER (event_type = 'delivered') AS done_at
+      FILTER (event_type IN ('delivered', 'returned_to_sender')) AS done_at
   FROM scan_events GROUP BY 1) AS p
 LEFT JOIN (SELECT shipment_id, CAST(sum(dwell_ms) AS BIGINT) AS dwell_ms FROM dwells GROUP BY 1) AS d
   ON p.shipment_id = d.shipment_id""",
     "journeys": f"""
 SELECT shipment_id,
-  CASE WHEN done_at IS NOT NULL THEN 'DELIVERED'
+  CASE WHEN arrived THEN 'DELIVERED' WHEN done_at IS NOT NULL THEN 'RETURNED'
     WHEN epoch_ms(TIMESTAMP '{AS_OF}') - epoch_ms(last_at) > {LOST_S}000 THEN 'LOST'
     WHEN epoch_ms(TIMESTAMP '{AS_OF}') - epoch_ms(last_at) > {STUCK_S}000 THEN 'STUCK'
     ELSE 'IN_PROCESS' END AS status,
   place AS current_facility,
   CAST((epoch_ms(done_at) - epoch_ms(created_at)) / 1000.0 AS DOUBLE) AS e2e_transit_s,
-  CAST(NULL AS DOUBLE) AS pickup_lead_s, CAST(NULL AS DOUBLE) AS first_mile_s,
-  CAST(NULL AS DOUBLE) AS origin_po_dwell_s,
+  CASE WHEN done_at IS NOT NULL
+       THEN CAST((epoch_ms(picked_up_at) - epoch_ms(created_at)) / 1000.0 AS DOUBLE) END AS pickup_lead_s,
+  CASE WHEN done_at IS NOT NULL
+       THEN CAST((epoch_ms(origin_in_at) - epoch_ms(picked_up_at)) / 1000.0 AS DOUBLE) END AS first_mile_s,
+  CASE WHEN done_at IS NOT NULL
+       THEN CAST((epoch_ms(origin_out_at) - epoch_ms(origin_in_at)) / 1000.0 AS DOUBLE) END AS origin_po_dwell_s,
   CASE WHEN done_at IS NOT NULL THEN CAST(dwell_ms / 1000.0 AS DOUBLE) END AS total_hub_dwell_s,
-  CAST(NULL AS DOUBLE) AS last_mile_s,
+  CASE WHEN arrived THEN CAST((epoch_ms(done_at) - epoch_ms(dispatched_at)) / 1000.0 AS DOUBLE) END AS last_mile_s,
   CASE WHEN done_at IS NOT NULL THEN sla END AS sla_committed_date,
-  strftime(done_at, '%Y-%m-%d') AS delivered_date,
+  CASE WHEN arrived THEN strftime(done_at, '%Y-%m-%d') END AS delivered_date,
   CASE WHEN done_at IS NOT NULL
-       THEN CAST(coalesce(strftime(done_at, '%Y-%m-%d') <= sla, false) AS INTEGER) END AS sla_met,
+       THEN CAST(coalesce(arrived AND strftime(done_at, '%Y-%m-%d') <= sla, false) AS INTEGER) END AS sla_met,
   CASE WHEN done_at IS NOT NULL
        THEN CAST(coalesce(strftime(done_at, '%Y-%m-%d') > sla, false) AS INTEGER) END AS sla_breach,
   CASE WHEN done_at IS NOT NULL THEN attempt END AS attempt_count,
-  CASE WHEN done_at IS NOT NULL THEN CAST(coalesce(attempt, 1) = 1 AS INTEGER) END AS first_attempt_success,
+  CASE WHEN done_at IS NOT NULL THEN CAST(arrived AND coalesce(attempt, 1) = 1 AS INTEGER) END AS first_attempt_success,
   CASE WHEN done_at IS NOT NULL THEN CAST(coalesce(attempt, 1) > 1 AS INTEGER) END AS is_redelivery,
   CASE WHEN done_at IS NOT NULL THEN done_at
     WHEN epoch_ms(TIMESTAMP '{AS_OF}') - epoch_ms(last_at) > {LOST_S}000 THEN last_at + to_seconds({LOST_S})
@@ -435,8 +452,11 @@ folded AS (
   SELECT shipment_id, min(event_time) FILTER (event_type = 'shipment_created') AS created_at,
     last(sla_committed_date {order}) FILTER (event_type = 'shipment_created') AS sla,
     max(event_time) AS last_at, last(facility_id {order}) AS place,
-    max(attempt_no) FILTER (event_type IN ('delivered', 'failed_delivery')) AS attempt,
-    last(event_time {order}) FILTER (event_type = 'delivered') AS done_at
+    max(event_time) FILTER (event_type = 'picked_up') AS picked_up_at,
+    max(event_time) FILTER (event_type = 'dispatched_for_delivery') AS dispatched_at,
+    max(attempt_no) FILTER (event_type IN ('dispatched_for_delivery', 'delivered', 'failed_delivery')) AS attempt,
+    last(event_type {order}) FILTER (event_type IN ('delivered', 'returned_to_sender')) = 'delivered' AS arrived,
+    last(event_time {order}) FILTER (event_type IN ('delivered', 'returned_to_sender')) AS done_at
   FROM kept GROUP BY 1),
 clocked AS (
   SELECT f.*, coalesce(s.dwell_ms, 0) AS dwell_ms,
@@ -444,15 +464,17 @@ clocked AS (
     (SELECT count(*) FROM {marks} WHERE mark > f.last_at + to_seconds({LOST_S})) AS passed_lost
   FROM folded AS f LEFT JOIN stays AS s ON f.shipment_id = s.shipment_id),
 named AS (
-  SELECT *, CASE WHEN {done} THEN 'DELIVERED' WHEN passed > 1 AND passed_lost > 0 THEN 'LOST'
+  SELECT *, CASE WHEN arrived THEN 'DELIVERED' WHEN {done} THEN 'RETURNED' WHEN passed > 1 AND passed_lost > 0 THEN 'LOST'
     WHEN passed > 0 THEN 'STUCK' ELSE 'IN_PROCESS' END AS status FROM clocked)
 SELECT shipment_id, status, coalesce(place, 'UNKNOWN') AS current_facility,
   CAST((epoch_ms(done_at) - epoch_ms(created_at)) / 1000.0 AS DOUBLE) AS e2e_transit_s,
+  CASE WHEN {done} THEN CAST((epoch_ms(picked_up_at) - epoch_ms(created_at)) / 1000.0 AS DOUBLE) END AS pickup_lead_s,
   CASE WHEN {done} THEN CAST(dwell_ms / 1000.0 AS DOUBLE) END AS total_hub_dwell_s,
+  CASE WHEN arrived THEN CAST((epoch_ms(done_at) - epoch_ms(dispatched_at)) / 1000.0 AS DOUBLE) END AS last_mile_s,
   coalesce(CASE WHEN {done} THEN sla END, 'UNKNOWN') AS sla_committed_date,
-  CASE WHEN {done} THEN CAST(coalesce(strftime(done_at, '%Y-%m-%d') <= sla, false) AS INTEGER) END AS sla_met,
+  CASE WHEN {done} THEN CAST(coalesce(arrived AND strftime(done_at, '%Y-%m-%d') <= sla, false) AS INTEGER) END AS sla_met,
   CASE WHEN {done} THEN attempt END AS attempt_count,
-  CASE status WHEN 'DELIVERED' THEN done_at WHEN 'LOST' THEN last_at + to_seconds({LOST_S})
+  CASE status WHEN 'DELIVERED' THEN done_at WHEN 'RETURNED' THEN done_at WHEN 'LOST' THEN last_at + to_seconds({LOST_S})
     WHEN 'STUCK' THEN last_at + to_seconds({STUCK_S}) ELSE last_at END AS updated_at
 FROM named"""
 
