@@ -26,6 +26,7 @@ from parcelflow.streaming.app import (
     start_partial_kpis,
     start_tracker,
 )
+from parcelflow.streaming.paced import PacedReplay
 from parcelflow.streaming.progress import logged
 from parcelflow.streaming.sinks import (
     BATCH,
@@ -34,6 +35,7 @@ from parcelflow.streaming.sinks import (
     folder_append,
     progress_writer,
 )
+from parcelflow.streaming.sweep import Run, sweep
 
 
 def stream_conf(partitions: int = 8) -> dict[str, str]:
@@ -223,6 +225,24 @@ def intake_tables(spark: SparkSession, sf_dir: str, watermark: str) -> dict[str,
     return {INTAKE_TABLE: spark.read.parquet(f"{path}/{INTAKE_TABLE}")}
 
 
+#: Every tenth scan comes three steps late. Runs: patient and impatient with late rows, slow and fast.
+LATE_STEPS_SQL = "CASE WHEN cast(substr(event_id, 2) AS bigint) % 10 = 3 THEN 3 ELSE 0 END"
+PACED_RUNS = (
+    Run("trigger", watermark="365 days", window="6 hours", trigger="1 second"),
+    Run("trigger", watermark="365 days", window="6 hours", trigger="25 seconds"),
+    Run("watermark", watermark="60 seconds", window="6 hours", trigger="1 second"),
+)
+
+
+def paced_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facility flow of scans that arrive at a pace, under several triggers and watermarks."""
+    scans = scan_feed(spark, sf_dir).withColumn("failure_reason_code", F.lit(None).cast("string"))
+    feed = PacedReplay(spark, scans, behind=F.expr(LATE_STEPS_SQL))
+    kpi = KPIS["kpi_facility_flow"]
+    with session_conf(spark, stream_conf()):
+        return sweep(spark, kpi, feed.open, scans, PACED_RUNS, feed.run, available_now=False)
+
+
 def merged_flow(spark: SparkSession, path: str) -> DataFrame:
     kpi = KPIS["kpi_facility_flow"]
     return merged_kpi(kpi, spark.read.parquet(f"{path}/{kpi.name}")).drop("ingested_at")

@@ -44,11 +44,13 @@ def sweep(
     complete: DataFrame,
     over: Iterable[Run],
     finish: Callable,
+    available_now: bool = True,
 ) -> DataFrame:
     """One row per run: rows dropped as late, deviation from batch, throughput.
 
     ``source`` opens the replayed stream anew, ``complete`` is the same data as a batch, and
-    ``finish`` waits for a query to drain.
+    ``finish`` waits for a query to drain. With ``available_now`` the trigger has no effect; without it
+    ``source`` and ``finish`` must bring the rows while the query runs, as ``paced.PacedReplay`` does.
     """
     out = None
     for run in over:
@@ -59,7 +61,7 @@ def sweep(
             window=run.window,
             slide=run.window,
             trigger=run.trigger,
-            available_now=True,
+            available_now=available_now,
         )
         path, checkpoint = new_scratch(spark, "sweep"), new_scratch(spark, "checkpoint")
         append = folder_append(path)
@@ -71,6 +73,7 @@ def sweep(
         gaps = deviation(seen, truth, kpi.row_key, list(kpi.measures))
         progress = spark.read.parquet(f"{path}/{PROGRESS_TABLE}").filter(F.col("query_name") == query.name).agg(
             F.count(F.lit(1)).alias("batches"),
+            F.count_if(F.col("num_input_rows") > 0).alias("filled_batches"),
             F.sum("num_input_rows").alias("input_rows"),
             F.sum("num_dropped_late_rows").alias("dropped_late_rows"),
             F.max("state_num_rows_total").alias("max_state_rows"),
