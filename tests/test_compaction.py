@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.operators.windows import merge_partials
-from parcelflow.session import new_scratch
+from parcelflow.session import new_scratch, session_conf
 from parcelflow.sources.warehouse import Warehouse
 from parcelflow.streaming import compaction
 from parcelflow.streaming.compaction import compact, partial_rows, vacuum
@@ -137,3 +137,14 @@ def test_nothing_to_merge_and_bad_parameters(partials):
     assert vacuum(partials.warehouse, TABLE) == []
     with pytest.raises(ValueError):
         partials.compact(2, fan_in=1)
+
+
+def test_a_session_that_overwrites_whole_tables_by_default_keeps_other_partitions(spark, partials):
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+        partials.put(0, (0, "a", 1), (1, "b", 2))
+        partials.put(1, (0, "a", 4))
+        assert partials.stored() == {"r-0", "r-1"}
+        partials.compact(1, fan_in=2)
+        partials.put(2, (0, "a", 8))
+        partials.compact(2, fan_in=2)
+        assert partials.sums() == [(0, "a", 13), (1, "b", 2)]
