@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from parcelflow.catalogue.feeds import SCAN_SQL, SCHEMAS, _mapped, dimensions, scan_feed, scan_topics
+from parcelflow.catalogue.feeds import SCAN_SQL, SCHEMAS, _mapped, dimensions, scan_feed, scan_topics, table
 from parcelflow.model import TRACKING, topic_schema
 from parcelflow.operators.dedup import latest_per_key
 from parcelflow.plans.enrich import deduplicated
@@ -38,10 +38,28 @@ from parcelflow.streaming.sinks import (
 from parcelflow.streaming.sweep import Run, sweep
 
 
+#: Rows of the input for a state partition and for a block of the tracker.
+PARTITION_ROWS, BLOCK_ROWS = 100_000, 256
+
+
 def stream_conf(partitions: int = 8) -> dict[str, str]:
     return STREAM_CONF | {"spark.sql.shuffle.partitions": str(partitions)}
 
 
+def sized_conf(rows: int, per_partition: int = PARTITION_ROWS) -> dict[str, str]:
+    """State partitions in proportion to the input: what a task keeps and gives back doesn't grow with it."""
+    return stream_conf(max(8, -(-rows // per_partition)))
+
+
+def scan_count(spark: SparkSession, sf_dir: str) -> int:
+    """Number of scans, out of the file's footer."""
+    return table(spark, sf_dir, "events").count()
+
+
+def tracker_settings(rows: int, watermark: str, limits: StateThresholds) -> StreamSettings:
+    return replace(settings("5 minutes", "1 minute", watermark, limits), tracker_blocks=max(8, rows // BLOCK_ROWS))
+
+
 def drain(query: StreamingQuery) -> StreamingQuery:
     """Wait until an available-now query has stopped by itself."""
     query.awaitTermination()
@@ -253,14 +271,15 @@ def tracker_tables(
 ) -> dict[str, DataFrame]:
     """Run the tracker over all scans in one batch; gives its two tables."""
     path, checkpoint = new_scratch(spark, "tracker"), new_scratch(spark, "checkpoint")
-    with session_conf(spark, stream_conf()):
+    rows = scan_count(spark, sf_dir)
+    with session_conf(spark, sized_conf(rows)):
         drain(
             start_tracker(
                 {TRACKING: scan_stream(spark, sf_dir)},
                 dimensions(spark, sf_dir),
                 folder_append(path),
                 checkpoint,
-                settings("5 minutes", "1 minute", watermark, limits),
+                tracker_settings(rows, watermark, limits),
             )
         )
     return {
@@ -285,8 +304,8 @@ def tracker_topics(
     query was started holds ``min`` where it is.
     """
     path, checkpoint = new_scratch(spark, "tracker"), new_scratch(spark, "checkpoint")
-    append = folder_append(path)
-    conf = replace(settings("5 minutes", "1 minute", watermark, limits), watermark_scope=scope)
+    append, rows = folder_append(path), scan_count(spark, sf_dir)
+    conf = replace(tracker_settings(rows, watermark, limits), watermark_scope=scope)
     dims = dimensions(spark, sf_dir)
 
     def start(parsed: dict[str, DataFrame]) -> StreamingQuery:
@@ -294,7 +313,7 @@ def tracker_topics(
 
     policy_conf = {"spark.sql.streaming.multipleWatermarkPolicy": policy}
     with (
-        session_conf(spark, stream_conf() | policy_conf),
+        session_conf(spark, sized_conf(rows) | policy_conf),
         logged(spark, progress_writer(append, "replay")) as log,
     ):
         for query in replay_topics(spark, scan_topics(spark, sf_dir), {TRACKING: 1}, start, steps):

@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow.functions.quality import with_quality
@@ -96,9 +97,17 @@ def unified_stream(parsed: Mapping[str, DataFrame], settings: StreamSettings) ->
     return unify(valid).withWatermark("event_time", settings.union_watermark)
 
 
+def _fixed_blocks(spark: SparkSession, checkpoint: str, wanted: int) -> int:
+    """The number of blocks that the first start of a checkpoint noted: shipments must stay in theirs."""
+    path = f"{checkpoint}/tracker-blocks"
+    spark.range(1).select(F.lit(wanted).alias("blocks")).write.mode("ignore").parquet(path)
+    return spark.read.schema("blocks int").parquet(path).first().blocks
+
+
 def start_tracker(parsed, dims, append: Append, checkpoint, settings) -> StreamingQuery:
     events = with_state_lookups(unified_stream(parsed, settings), dims)
-    output = tracked_stream(events, settings.thresholds)
+    blocks = _fixed_blocks(events.sparkSession, checkpoint, settings.tracker_blocks)
+    output = tracked_stream(events, settings.thresholds, blocks)
     writer = tracker_writer(append, partial(batch_name, checkpoint, "tracker"))
     return _start(output, "tracker", "update", writer, checkpoint, settings)
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.catalogue.feeds import scan_feed
-from parcelflow.catalogue.streams import drain, last_journeys, merged_flow, partial_kpis, progress_of, replay_topics, settings, stream_conf, tracker_topics
+from parcelflow.catalogue.streams import drain, last_journeys, merged_flow, partial_kpis, progress_of, replay_topics, settings, sized_conf, stream_conf, tracker_settings, tracker_topics
 from parcelflow.model import FINANCIAL, INTAKE, SHIPMENT, TOPICS, TRACKING, topic_schema
 from parcelflow.plans.kpis import KPIS, compute_kpi, merged_kpi
 from parcelflow.plans.serving import register_views, shipment_journey, stream_intake_summary, stream_progress_summary
@@ -161,6 +161,42 @@ def test_tracker_over_many_batches(spark, feed, dims):
     assert stuck.first().detail == "no event for >20s; last=picked_up"
 
 
+def test_tracker_blocks_of_any_size_give_the_same_rows_and_stay_over_a_restart(spark, feed, dims):
+    def batches():
+        names = [f"S{n}" for n in range(12)]
+        yield [event("arrived_at_hub", n, name, facility_id=f"H{n % 3}", route_id="RT") for n, name in enumerate(names)]
+        yield [event("departed_hub", 30 + n, name, facility_id=f"H{n % 3}") for n, name in enumerate(names) if n % 2]
+        yield [event("delivered", 60, name, attempt_no=1) for name in names[:3]] + [event("picked_up", 75, "Z")]
+        yield [event("picked_up", 200, "Z"), event("arrived_at_hub", 199, "S0", facility_id="H1")]
+        yield [event("picked_up", 400, "Z")]
+
+    def run(blocks):
+        folder, path, checkpoint = feed.path.parent / f"b{len(blocks)}-{blocks[0]}", new_scratch(spark, "tracker"), new_scratch(spark, "c")
+        folder.mkdir()
+        own, states = Feed(folder), []
+        with session_conf(spark, stream_conf(2)):
+            for number, rows in enumerate(batches()):
+                own.put(*rows)
+                conf = replace(settings("5 minutes", "1 minute", "10 seconds", LIMITS), tracker_blocks=blocks[number % len(blocks)])
+                query = drain(start_tracker({TRACKING: stream(spark, own)}, dims, folder_append(path), checkpoint, conf))
+                states.append(query.recentProgress[0].stateOperators[0].numRowsTotal)
+        tables = [spark.read.parquet(f"{path}/{n}").drop("ingested_at", "source_batch") for n in ("kpi_shipment_journey", "anomaly_alerts")]
+        return [sorted(map(str, t.collect())) for t in tables], max(states)
+
+    one, kept = run([1])
+    apart, _ = run([4096])
+    restarted, _ = run([5, 3])
+    assert one == apart == restarted and all(one)
+    # One value and one timer (in two indexes), however many shipments a block has.
+    assert kept <= 3
+
+
+def test_state_partitions_and_blocks_grow_with_the_input():
+    few, many = (int(sized_conf(n)["spark.sql.shuffle.partitions"]) for n in (1000, 36_000_000))
+    assert few == 8 and many == 360
+    assert tracker_settings(36_000_000, "60 seconds", LIMITS).tracker_blocks == 36_000_000 // 256
+
+
 def test_all_streams_together(spark, tmp_path, dims):
     parsed = {}
     feeds = {}
