@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -93,6 +95,28 @@ def test_sliding_panes_equal_plain_sliding_windows(spark):
         duration_s("soon")
 
 
+def test_sliding_windows_take_one_shuffle_whose_partitions_grow_with_the_input(spark, monkeypatch, tmp_path):
+    from parcelflow.operators import windows
+
+    hours = spark.range(4000).selectExpr(
+        "concat('k', id % 3) AS k", "id % 5 AS part", "timestamp_seconds(-9000000 + id * 7919) AS t", "id AS v"
+    )
+    empty = "k string, part bigint, t timestamp, v bigint"
+    holes = spark.createDataFrame([(None, 1, None, 5), ("k1", None, None, 5), (None, None, datetime(2024, 1, 1), 9)], empty)
+    hours.unionByName(holes).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    measures = {"n": F.count(F.lit(1)), "s": F.sum("v")}
+    want = windowed(rows, ["k"], measures, "6 hours", "2 hours", "t")
+    got = sliding_sums(rows, ["k"], measures, "6 hours", "2 hours", "t")
+    parts = sliding_sums(rows, ["k", "part"], measures, "6 hours", "2 hours", "t", placed_by=["k"])
+    merged = windows.merge_partials(parts, ["window_start", "window_end", "k"], ["n", "s"])
+    for made in (got, merged):
+        assert made.exceptAll(want).count() == 0 and want.exceptAll(made).count() == 0
+        assert plan(made).count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(windows, "PARTITION_BYTES", 1000)
+    assert windows.partitions_for(rows) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_merge_rows_updates_inserts_and_keeps(spark):
     ddl = "k string, updated_at int, v string"
     target = spark.createDataFrame([("a", 5, "old"), ("b", 9, "old"), ("c", 1, "old")], ddl)
