@@ -38,17 +38,17 @@ from parcelflow.streaming.sinks import (
 from parcelflow.streaming.sweep import Run, sweep
 
 
-#: Rows of the input for a state partition and for a block of the tracker.
-PARTITION_ROWS, BLOCK_ROWS = 100_000, 256
+#: Rows of the input for a state partition, for one of the tracker, whose expired timers' rows are held at once, and for a block.
+PARTITION_ROWS, TRACKER_ROWS, BLOCK_ROWS = 500_000, 100_000, 256
 
 
 def stream_conf(partitions: int = 8) -> dict[str, str]:
     return STREAM_CONF | {"spark.sql.shuffle.partitions": str(partitions)}
 
 
-def sized_conf(rows: int, per_partition: int = PARTITION_ROWS) -> dict[str, str]:
+def sized_conf(rows: int, per_partition: int | None = None) -> dict[str, str]:
     """State partitions in proportion to the input: what a task keeps and gives back doesn't grow with it."""
-    return stream_conf(max(8, -(-rows // per_partition)))
+    return stream_conf(max(8, -(-rows // (per_partition or PARTITION_ROWS))))
 
 
 def scan_count(spark: SparkSession, sf_dir: str) -> int:
@@ -153,7 +153,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .parquet(sf_dir)
     )
     unique = deduplicated(_mapped(rows, TRACKING_SQL), "60 seconds").select("event_id")
-    with session_conf(spark, stream_conf()):
+    # The number of ids kept is read by nobody, and counting them costs a search at every write.
+    uncounted = {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+    with session_conf(spark, sized_conf(table(spark, sf_dir, "lineitem").count()) | uncounted):
         query = (
             unique.writeStream.format("parquet")
             .option("checkpointLocation", checkpoint)
@@ -176,7 +178,7 @@ def final_flow(
     def start(parsed: DataFrame) -> StreamingQuery:
         return start_final_kpi(kpi, parsed, folder_append(path), checkpoint, conf)
 
-    with session_conf(spark, stream_conf()):
+    with session_conf(spark, sized_conf(scan_count(spark, sf_dir))):
         for _ in replay(spark, sf_dir, start, steps):
             pass
     return spark.read.parquet(f"{path}/{kpi.name}").drop(BATCH, "ingested_at")
@@ -193,7 +195,7 @@ def partial_kpis(
         scans = parsed.withColumn("failure_reason_code", F.lit(None).cast("string"))
         return start_partial_kpis(scans, TRACKING, append, checkpoint, conf)
 
-    with session_conf(spark, stream_conf()), logged(spark, progress_writer(append, "replay")) as log:
+    with session_conf(spark, sized_conf(scan_count(spark, sf_dir))), logged(spark, progress_writer(append, "replay")) as log:
         for query in replay(spark, sf_dir, start, steps):
             log.settle(query)
     return path
@@ -215,7 +217,7 @@ def enriched_scans(spark: SparkSession, sf_dir: str, watermark: str) -> DataFram
     def start(parsed: DataFrame) -> StreamingQuery:
         return start_enriched(parsed, TRACKING, versions, append, checkpoint, conf)
 
-    with session_conf(spark, stream_conf()):
+    with session_conf(spark, sized_conf(scan_count(spark, sf_dir))):
         for number, _ in enumerate(replay(spark, sf_dir, start)):
             if number == 1:
                 versions.publish({"dim_facility": places.withColumn("branch_id", F.expr(MOVED_SQL))})
@@ -228,7 +230,7 @@ def intake_tables(spark: SparkSession, sf_dir: str, watermark: str) -> dict[str,
     append, conf = folder_append(path), settings("6 hours", "6 hours", watermark)
     twice = F.expr("CASE WHEN cast(substr(event_id, 2) AS bigint) % 5 = 0 THEN 2 ELSE 1 END")
     writers = progress_writer(append, "replay"), progress_writer(append, "replay", INTAKE_TABLE)
-    with session_conf(spark, stream_conf()), logged(spark, *writers) as log:
+    with session_conf(spark, sized_conf(scan_count(spark, sf_dir))), logged(spark, *writers) as log:
         for topic, scans in scan_topics(spark, sf_dir).items():
             absent = [f for f in topic_schema(topic) if f.name not in scans.columns]
             sent = scans.select(
@@ -257,7 +259,7 @@ def paced_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     scans = scan_feed(spark, sf_dir).withColumn("failure_reason_code", F.lit(None).cast("string"))
     feed = PacedReplay(spark, scans, behind=F.expr(LATE_STEPS_SQL))
     kpi = KPIS["kpi_facility_flow"]
-    with session_conf(spark, stream_conf()):
+    with session_conf(spark, sized_conf(scan_count(spark, sf_dir))):
         return sweep(spark, kpi, feed.open, scans, PACED_RUNS, feed.run, available_now=False)
 
 
@@ -272,7 +274,7 @@ def tracker_tables(
     """Run the tracker over all scans in one batch; gives its two tables."""
     path, checkpoint = new_scratch(spark, "tracker"), new_scratch(spark, "checkpoint")
     rows = scan_count(spark, sf_dir)
-    with session_conf(spark, sized_conf(rows)):
+    with session_conf(spark, sized_conf(rows, TRACKER_ROWS)):
         drain(
             start_tracker(
                 {TRACKING: scan_stream(spark, sf_dir)},
@@ -313,7 +315,7 @@ def tracker_topics(
 
     policy_conf = {"spark.sql.streaming.multipleWatermarkPolicy": policy}
     with (
-        session_conf(spark, sized_conf(rows) | policy_conf),
+        session_conf(spark, sized_conf(rows, TRACKER_ROWS) | policy_conf),
         logged(spark, progress_writer(append, "replay")) as log,
     ):
         for query in replay_topics(spark, scan_topics(spark, sf_dir), {TRACKING: 1}, start, steps):

@@ -7,11 +7,12 @@ import os
 from dataclasses import replace
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.catalogue.feeds import scan_feed
-from parcelflow.catalogue.streams import drain, last_journeys, merged_flow, partial_kpis, progress_of, replay_topics, settings, sized_conf, stream_conf, tracker_settings, tracker_topics
+from parcelflow.catalogue.streams import TRACKER_ROWS, drain, last_journeys, merged_flow, partial_kpis, progress_of, replay_topics, settings, sized_conf, stream_conf, tracker_settings, tracker_topics
 from parcelflow.model import FINANCIAL, INTAKE, SHIPMENT, TOPICS, TRACKING, topic_schema
 from parcelflow.plans.kpis import KPIS, compute_kpi, merged_kpi
 from parcelflow.plans.serving import register_views, shipment_journey, stream_intake_summary, stream_progress_summary
@@ -191,9 +192,27 @@ def test_tracker_blocks_of_any_size_give_the_same_rows_and_stay_over_a_restart(s
     assert kept <= 3
 
 
+def test_dedup_of_a_large_table_spreads_its_state(spark, tmp_path, monkeypatch):
+    from parcelflow.catalogue import streams
+
+    lines = spark.range(300).selectExpr(
+        "id % 50 AS l_orderkey", "id AS l_partkey", "1L AS l_suppkey", "cast(id % 2 AS int) AS l_linenumber", "1D AS l_quantity",
+        "1D AS l_extendedprice", "0D AS l_discount", "0D AS l_tax", "'A' AS l_returnflag", "'F' AS l_linestatus",
+        "TIMESTAMP_NTZ '2000-01-01 00:00:00' AS l_shipdate",
+    )
+    pq.write_table(lines.toArrow(), str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(streams, "PARTITION_ROWS", 20)
+    monkeypatch.setattr(streams, "new_scratch", lambda _, label: str(tmp_path / label))
+    out = streams.stream_dedup(spark, str(tmp_path))
+    assert sorted(r[:] for r in out.collect()) == sorted((f"T{n}-{n % 2}", 1) for n in range(50))
+    assert len([p for p in os.listdir(tmp_path / "checkpoint" / "state" / "0") if p.isdigit()]) == 15
+
+
 def test_state_partitions_and_blocks_grow_with_the_input():
-    few, many = (int(sized_conf(n)["spark.sql.shuffle.partitions"]) for n in (1000, 36_000_000))
-    assert few == 8 and many == 360
+    few, many, tracker = (
+        int(sized_conf(*n)["spark.sql.shuffle.partitions"]) for n in [(1000,), (36_000_000,), (36_000_000, TRACKER_ROWS)]
+    )
+    assert (few, many, tracker) == (8, 72, 360)
     assert tracker_settings(36_000_000, "60 seconds", LIMITS).tracker_blocks == 36_000_000 // 256
 
 
