@@ -8,6 +8,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from parcelflow.catalogue import tables
+from parcelflow.model import SHIPMENT
 from parcelflow.operators.dedup import first_per_key
 from parcelflow.operators.upsert import Rule, _merged, upsert
 from parcelflow.plans import facts
@@ -99,3 +101,12 @@ def test_the_shipment_fact_shuffles_its_rows_once(spark, tmp_path):
         assert len(_shuffles(fact)) == 2
         got = {r.shipment_id: (r.created_at, r.delivered_at) for r in fact.collect()}
     assert got == {"S0": (_day(1), _day(1)), "S1": (_day(2), _day(2))}
+
+
+def test_raw_rows_are_made_in_small_splits(spark, sf_dir, warehouse, monkeypatch):
+    """What a task sorts stays small; the session gets its own split size back."""
+    key, seen = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(tables, "raw_writer", lambda *_: lambda rows, batch: seen.append((spark.conf.get(key), rows.isEmpty())))
+    tables.filled_raw(spark, sf_dir, warehouse, [SHIPMENT])
+    assert seen == [(tables.FEED_SPLIT, False)] and spark.conf.get(key) == before
