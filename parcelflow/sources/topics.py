@@ -53,11 +53,12 @@ def file_topic(
 def decode(raw: DataFrame, topic: str) -> DataFrame:
     """JSON text -> typed columns, with the text itself and whether all of it could be read.
 
-    Unreadable fields become null, and so perhaps invalid; a text that is no JSON object is null throughout.
+    Unreadable fields become null, and so perhaps invalid; a text that is no JSON object is null throughout. A filter on a field
+    isn't moved below the explode of the one event, where each mention of a field would parse the text again.
     """
     schema = T.StructType([*topic_schema(topic), T.StructField(_CORRUPT, T.StringType())])
-    event = F.from_json("raw_value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("event")
-    return raw.select("kafka_partition", "kafka_offset", "raw_value", event).select(
+    event = F.from_json("raw_value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return raw.select("kafka_partition", "kafka_offset", "raw_value", F.explode(F.array(event)).alias("event")).select(
         "event.*", "kafka_partition", "kafka_offset", F.current_timestamp().alias("ingest_time"), "raw_value",
         # Spark gives no object at all for an empty text.
         (F.col(f"event.{_CORRUPT}").isNotNull() | F.col("event").isNull()).alias("unreadable"),

@@ -49,7 +49,7 @@ def _start(df: DataFrame, name: str, mode: str, writer, checkpoint: str, setting
 
 def start_raw(parsed, topic, warehouse, checkpoint, settings) -> StreamingQuery:
     query = f"raw_{short(topic)}"
-    writer = raw_writer(warehouse, topic, partial(batch_name, checkpoint, query))
+    writer = raw_writer(warehouse, topic, partial(batch_name, checkpoint, query), keep=True)
     return _start(parsed, query, "append", writer, checkpoint, settings)
 
 
