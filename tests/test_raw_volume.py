@@ -8,7 +8,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.model import TRACKING
+from parcelflow.catalogue.tables import filled_raw
+from parcelflow.model import SHIPMENT, TRACKING
 from parcelflow.session import new_scratch
 from parcelflow.sources.topics import decode
 from parcelflow.sources.warehouse import RAW_TABLES, Warehouse, create_raw_tables
@@ -52,3 +53,15 @@ def test_a_filter_on_an_event_does_not_parse_its_text_again(lines):
     assert plan.count("from_json(") == 1
     # What does not come out of the text is still sought in the file.
     assert "PushedFilters: [IsNotNull(kafka_partition), EqualTo(kafka_partition,0)]" in plan
+
+
+def test_raw_tables_are_filled_without_a_copy_in_memory(spark, tmp_path, warehouse, monkeypatch):
+    columns = "id AS o_orderkey, id AS o_custkey, 'F' AS o_orderstatus, 1e5D AS o_totalprice, TIMESTAMP_NTZ'1996-01-01' AS o_orderdate"
+    spark.range(20).selectExpr(*columns.split(", "), "'5-LOW' AS o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+
+    def kept(*_):
+        raise AssertionError("a batch was kept")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", kept)
+    filled_raw(spark, str(tmp_path), warehouse, [SHIPMENT])
+    assert warehouse.read(RAW_TABLES[SHIPMENT]).count() == 20 and warehouse.read(DEAD_TABLE).isEmpty()
